@@ -5,7 +5,7 @@ Two kinds of evidence, all of it in SQL expressions:
 * length histograms. For each source and column (the whole answer and every
   named value inside it), in characters and in bytes, a length at which far
   more values pile up than at its neighbours is a limit; a value of that length
-  (or one less, where a trailing space was trimmed) without an end is cut;
+  (or a little less, cut back to a word or clause) without an end is cut;
 * the shape of the end. An answer that is a JSON object is cut where the text
   stops inside a string or with brackets open; prose is cut where it stops
   without an end mark, or at a mark that says so ("…", "[truncated]").
@@ -21,11 +21,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hibiki.functions.plan import once
+from hibiki.session import cut
 
 #: A limit is not looked for below this length: short values are words of a list.
 MIN_LIMIT = 32
 #: A limit holds at least so many values, and so many times a neighbouring length's.
 MIN_AT_LIMIT, TIMES_NEIGHBOUR, REACH = 5, 6.0, 10
+#: Some writers cut back to a word or clause: open values down to this share of a limit are cut too.
+CUT_BACK = 0.9
 #: Prose shorter than this is a remark, not a cut text.
 MIN_PROSE = 25
 
@@ -72,7 +75,7 @@ def with_shape(df: DataFrame, text: str) -> DataFrame:
             "_depth": _count(F.col("_bare"), "{[") - _count(F.col("_bare"), "}]"),
             "_after": F.length(F.regexp_extract("_bare", r"[}\]](?:\s*```)?\s*([^{}\[\]`]*)$", 1)),
             # a list whose lines have no end marks shows nothing by lacking the last one
-            "_listed": ~F.col("_json") & F.col("_tail").contains("\n") & ~F.col("_tail").rlike(r"[.!?。！？]\s*\n"),
+            "_listed": ~F.col("_json") & F.col("_tail").contains("\n") & ~F.col("_tail").rlike(r"[.!?。！？][\s”’」』\"]"),
         },
     )
     depth, string, closes, ended = F.col("_depth"), F.col("_open_string"), F.col("_closes"), F.col("_ended")
@@ -103,23 +106,37 @@ def inner_values(df: DataFrame, keys: list[str]) -> DataFrame:
     return once(out, {"complete": F.col("_end").rlike(END) & ~F.col("_end").rlike(MARKER)}).drop("_end")
 
 
-def limits(values: DataFrame, source: str) -> DataFrame:
+def measured(shaped: DataFrame) -> DataFrame:
+    """_id, _src, field, chars, bytes, h, complete, cut_end of the whole texts and the values inside them.
+
+    Only lengths and a hash go on; the texts are parsed once and left behind.
+    """
+    values = inner_values(shaped, ["_id", "_src"]).withColumn("cut_end", F.lit(False))
+    whole = shaped.where(F.col("_tail") != "").select(
+        "_id", "_src", F.lit("").alias("field"), F.col("_text").alias("value"), F.col("_complete").alias("complete"), F.col("_cut_end").alias("cut_end")
+    )
+    return whole.unionByName(values).select(
+        "_id", "_src", "field", F.length("value").alias("chars"), F.octet_length("value").alias("bytes"), F.xxhash64("value").alias("h"), "complete", "cut_end"
+    )
+
+
+def limits(values: DataFrame) -> DataFrame:
     """The lengths at which the values of a source and field pile up without an end.
 
-    values: source, field, value, complete. Partial counts come before every
-    shuffle, and what is shuffled is one row per distinct value hash, then one
-    per length; a hot source is spread by field, length and hash.
+    values: what measured() gives. Partial counts come before every shuffle, and
+    what is shuffled is one row per distinct value hash, then one per length; a
+    hot source is spread by field, length and hash.
     """
-    units = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.length("value").alias("len")), F.struct(F.lit("bytes").alias("unit"), F.octet_length("value").alias("len"))))
+    units = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("len")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("len"))))
     by_value = (
-        values.select(source, "field", "complete", F.xxhash64("value").alias("h"), units.alias("u"))
-        .groupBy(source, "field", "u.unit", "u.len", "h")
+        values.select("_src", "field", "complete", "h", units.alias("u"))
+        .groupBy("_src", "field", "u.unit", "u.len", "h")
         .agg(F.count("*").alias("n"), F.count_if(~F.col("complete")).alias("n_open"))
     )
-    by_len = by_value.groupBy(source, "field", "unit", "len").agg(
+    by_len = by_value.groupBy("_src", "field", "unit", "len").agg(
         F.sum("n").alias("n"), F.sum("n_open").alias("n_open"), F.count("*").alias("n_distinct")
     )
-    around = Window.partitionBy(source, "field", "unit").orderBy("len").rangeBetween(-REACH, REACH)
+    around = Window.partitionBy("_src", "field", "unit").orderBy("len").rangeBetween(-REACH, REACH)
     beside = (F.sum("n").over(around) - F.col("n")) / (2.0 * REACH)
     return (
         by_len.withColumn("beside", beside)
@@ -130,41 +147,36 @@ def limits(values: DataFrame, source: str) -> DataFrame:
             & (F.col("n_open") >= 0.5 * F.col("n"))
             & (F.col("n_distinct") >= 0.5 * F.col("n"))
         )
-        .select(source, "field", "unit", F.col("len").alias("limit"), "n", "n_open")
+        .select("_src", "field", "unit", F.col("len").alias("limit"), "n", "n_open")
     )
 
 
-def _whole(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
-    return df.where(F.col("_tail") != "").select(*keys, F.lit("").alias("field"), F.col(text).alias("value"), F.col("_complete").alias("complete"))
-
-
 def truncated(df: DataFrame, row_id: str, source: str, text: str) -> DataFrame:
     """row_id, reason ('end', 'limit', 'value limit'), field, of every cut text.
 
     A row may be named for several reasons. Extra columns of df are ignored.
     """
     base = df.select(F.col(row_id).alias("_id"), F.col(source).alias("_src"), F.col(text).alias("_text"))
-    shaped = with_shape(base, "_text")
-    values = _whole(shaped, "_text", ["_id", "_src"]).unionByName(inner_values(shaped, ["_id", "_src"]))
-    found = limits(values, "_src").select(F.col("_src").alias("s"), F.col("field").alias("f"), "unit", "limit")
-    size = F.when(F.col("unit") == "chars", F.length("value")).otherwise(F.octet_length("value"))
+    values = cut(measured(with_shape(base, "_text")))
+    found = limits(values).select(F.col("_src").alias("s"), F.col("field").alias("f"), "unit", "limit")
+    size = F.when(F.col("unit") == "chars", F.col("chars")).otherwise(F.col("bytes"))
     # the open values only, joined with the few limits; the optimizer sees their size
     at_limit = (
         values.where(~F.col("complete"))
         .join(found, F.col("_src").eqNullSafe(F.col("s")) & (F.col("field") == F.col("f")))
-        .where(size.between(F.col("limit") - 1, F.col("limit")))
+        .where(size.between(CUT_BACK * F.col("limit"), F.col("limit")))
         .select("_id", F.when(F.col("field") == "", "limit").otherwise("value limit").alias("reason"), "field")
     )
-    ends = shaped.where("_cut_end").select("_id", F.lit("end").alias("reason"), F.lit("").alias("field"))
+    ends = values.where("cut_end").select("_id", F.lit("end").alias("reason"), "field")
     return ends.unionByName(at_limit).distinct().withColumnRenamed("_id", row_id)
 
 
 def truncation_report(df: DataFrame, row_id: str, source: str, text: str, kind: Column) -> DataFrame:
     """source, kind, answers, cut, cut_share: how often each source truncates each kind."""
-    cut = truncated(df, row_id, source, text).select(F.col(row_id).alias("_cut_id")).distinct()
+    found = truncated(df, row_id, source, text).select(F.col(row_id).alias("_cut_id")).distinct()
     base = df.select(F.col(row_id).alias("_id"), F.col(source).alias("model"), kind.alias("kind"))
     return (
-        base.join(cut, F.col("_id") == F.col("_cut_id"), "left")
+        base.join(found, F.col("_id") == F.col("_cut_id"), "left")
         .groupBy("model", "kind")
         .agg(F.count("*").alias("answers"), F.count("_cut_id").alias("cut"))
         .withColumn("cut_share", F.round(F.col("cut") / F.col("answers"), 6))
