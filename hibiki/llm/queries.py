@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hibiki.session import table
 
-from . import truncation
+from . import sentences, truncation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +32,15 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.truncation_report(table(spark, sf_dir, "raw_cache"), "raw_id", "model", "raw_response", _kind())
+
+
+def _sentence_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """tbl, row_id, start_pos, end_pos, unit over both tables; repeated deliveries count once."""
+    para = table(spark, sf_dir, "paragraphs").select(F.lit("paragraphs").alias("tbl"), F.col("para_id").alias("row_id"), "text")
+    prec = table(spark, sf_dir, "precedent").select(F.lit("precedent").alias("tbl"), F.col("pr_id").alias("row_id"), F.col("jp_text").alias("text"))
+    return sentences.units(para.unionByName(prec), "text", ["tbl", "row_id"])
+
+
+@query
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sentence_units(spark, sf_dir).select("tbl", "row_id", "start_pos", "end_pos").distinct()
