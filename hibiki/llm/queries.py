@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hibiki.session import table
+from hibiki.session import cut, table
 
-from . import sentences, truncation
+from . import alignment, lookalike, mixture, neighbours, overlap, packing, quality, sentences, tokens, truncation
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -44,3 +44,138 @@ def _sentence_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sentence_units(spark, sf_dir).select("tbl", "row_id", "start_pos", "end_pos").distinct()
+
+
+def _split_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    precedent = table(spark, sf_dir, "precedent").select("pr_id", "part_id", "jp_text")
+    return overlap.split_of(precedent, "part_id", table(spark, sf_dir, "holdout"))
+
+
+@query
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = overlap.overlaps(_split_records(spark, sf_dir), "pr_id", "split", "jp_text")
+    return pairs.select(F.least("eval_id", "train_id").alias("id_a"), F.greatest("eval_id", "train_id").alias("id_b")).distinct()
+
+
+@query
+def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per split and part: its records, those that stand in the training split too, and the pairs."""
+    records = _split_records(spark, sf_dir)
+    hits = overlap.overlaps(records, "pr_id", "split", "jp_text").groupBy("eval_id").agg(F.count("*").alias("pairs"), F.count_if("exact").alias("exact_pairs"))
+    held = records.where(F.col("split").isNotNull() & (F.col("split") != "train")).select("pr_id", "split", "part_id")
+    return (
+        held.join(hits, F.col("pr_id") == F.col("eval_id"), "left")
+        .groupBy("split", "part_id")
+        .agg(
+            F.count("*").alias("records"),
+            F.count("eval_id").alias("overlapping"),
+            F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"),
+            F.coalesce(F.sum("exact_pairs"), F.lit(0)).alias("exact_pairs"),
+        )
+    )
+
+
+VECTOR_SIZE = 96
+
+
+@query
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = neighbours.nearest(table(spark, sf_dir, "precedent_embedding"), "row_id", "embedding", VECTOR_SIZE)
+    near = near.where(F.col("cos") >= 0.8)
+    return near.select(F.least("id", "neighbour").alias("id_a"), F.greatest("id", "neighbour").alias("id_b")).distinct()
+
+
+@query
+def p5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "precedent_embedding"), "row_id", "embedding", VECTOR_SIZE)
+
+
+@query
+def p5_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.recall(table(spark, sf_dir, "precedent_embedding"), "row_id", "embedding", VECTOR_SIZE)
+
+
+def _alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    precedent = table(spark, sf_dir, "precedent").select("pr_id", "jp_text", "en_text").distinct()
+    para = table(spark, sf_dir, "paragraphs").where("part_id is not null and side in ('jp', 'en')").select("part_id", "side", "para_id", "para_index", "text").distinct()
+    one_side = F.when(F.col("side") == "jp", "j").otherwise("e").alias("side")
+    texts = para.select(F.concat(F.lit("p:"), "part_id").alias("doc"), one_side, F.col("para_id").alias("row_id"), F.coalesce("para_index", F.lit(0)).cast("double").alias("place"), "text")
+    doc = F.concat(F.lit("r:"), F.col("pr_id").cast("string")).alias("doc")
+    for side, column in (("j", "jp_text"), ("e", "en_text")):
+        texts = texts.unionByName(precedent.select(doc, F.lit(side).alias("side"), F.col("pr_id").alias("row_id"), F.lit(0.0).alias("place"), F.col(column).alias("text")))
+    rows = cut(alignment.sentence_rows(texts))
+    lex = cut(alignment.lexicon(precedent.select(F.col("jp_text").alias("a"), F.col("en_text").alias("b"))))
+    long_, short = rows.where("doc like 'p:%'"), rows.where("doc like 'r:%'")
+    pairs = alignment.aligned(long_, lex, True).withColumn("unit", F.lit("paragraph")).unionByName(alignment.aligned(short, lex, False).withColumn("unit", F.lit("precedent")))
+    return pairs
+
+
+@query
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _alignment(spark, sf_dir).where("unit = 'precedent' or jp_row < en_row").select("unit", "jp_row", "jp_start", "en_row", "en_start").distinct()
+
+
+def _eye_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    para = table(spark, sf_dir, "paragraphs").select(F.lit("paragraph").alias("unit"), F.col("para_id").alias("id"), "text")
+    phrase = table(spark, sf_dir, "phrase_precedent").select(F.lit("phrase").alias("unit"), F.col("ph_id").alias("id"), F.col("jp_span").alias("text"))
+    texts = para.unionByName(phrase).distinct()
+    return lookalike.canonicalised(texts, "text", lookalike.learn(texts, "text"))
+
+
+@query
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike.same_to_the_eye(_eye_texts(spark, sf_dir), ["unit"], "id", "text", "canonical")
+
+
+@query
+def p6_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row's text in its one consistent form."""
+    return _eye_texts(spark, sf_dir).select("unit", "id", "canonical", (F.col("text") != F.col("canonical")).alias("changed"))
+
+
+def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, source, tokens: counted once, written, read as often as needed."""
+    return cut(tokens.with_tokens(table(spark, sf_dir, "documents"), ["doc_id", "source"], "text"))
+
+
+def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_sized(spark, sf_dir), table(spark, sf_dir, "packing_spec"), "doc_id", "tokens")
+
+
+@query
+def p7_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's container, or containers where it alone exceeds one."""
+    return _packed(spark, sf_dir)
+
+
+@query
+def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.containers(_packed(spark, sf_dir))
+
+
+@query
+def p7_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_report(_packed(spark, sf_dir))
+
+
+@query
+def p8_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drawn records and how often each is used."""
+    return mixture.drawn(_sized(spark, sf_dir), table(spark, sf_dir, "mix_target"), "doc_id", "source", "tokens")
+
+
+@query
+def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture.shares_report(cut(p8_draws(spark, sf_dir)), table(spark, sf_dir, "mix_target"))
+
+
+@query
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.statistics(docs, "doc_id", "text", quality.trained(docs, "doc_id", "text")).where("p_junk >= 0.5").select("doc_id").distinct()
+
+
+@query
+def p9_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.statistics(docs, "doc_id", "text", quality.trained(docs, "doc_id", "text"))
