@@ -29,8 +29,8 @@ from .quality_holdout import CHECKED
 
 #: Bound of the labelled sample, and of the length of its documents.
 SAMPLE, SAMPLE_CHARS = 3000, 20_000
-MIXTURES = 3000
-TREES, DEPTH, RATE, BINS = 80, 4, 0.15, 48
+MIXTURES = 2000
+TREES, DEPTH, RATE, BINS = 60, 4, 0.15, 48
 
 LATIN, DIGIT, HIRA, KATA, HAN, LETTER, SPACE, BREAK, END, PUNCT, TECH, CONTROL, UNSEEN, MARK, OTHER = range(15)
 
@@ -51,7 +51,15 @@ COUNTS = ("n_chars", "n_words", "n_lines")
 _ENDS = re.compile(r"(?:[.!?。！？؟।…]|\.\.\.)[”\"’'»)\]」』）]*$|[」』”]$")
 _MARKER = re.compile(r"(?:[-*•・●○◦‣▪+–—]|[(\[（]?\d{1,5}[.)\]）．、:：]|[①-⑳]|#{1,6}|[A-Za-z][.)]|(?:Part|Chapter|第)\s*\d+\s*[:：章話回]?)(?=\s|[^\d.\s])\s*")
 _RECORD = re.compile(r"(?:\d{1,4}[-:/]\d{1,2}[-:/]\d{1,4}\S*\s)|^\s*[\[{<}]|^[\w.\-]+\s*[=:]\s*\S+$|^\d+,")
-_TABLE = re.compile(r"[|｜\t]|\s/\s|(?:,[^,]*){6,}|\.{3,}\s*\d+$|…+\s*\d+$|\s{2,}\S+\s{2,}")
+_LEADER = re.compile(r"(?:\.{3,}|…+)\s*\d+$")
+_COLUMNS = re.compile(r"\s{2,}\S+\s{2,}")
+
+
+def _tabular(s: str) -> bool:
+    """The line has cells: separators, leaders to a number, or columns set by spaces."""
+    if "|" in s or "｜" in s or "\t" in s or " / " in s or s.count(",") >= 6:
+        return True
+    return (s[-1].isdigit() and _LEADER.search(s) is not None) or ("  " in s and _COLUMNS.search(s) is not None)
 
 
 def _table() -> np.ndarray:
@@ -88,6 +96,7 @@ def _table() -> np.ndarray:
 
 
 CLASS = _table()
+UPPER = np.array([chr(i).isupper() for i in range(0x2000)] + [False])
 
 
 def _blocks(text: str) -> list[tuple[str, int]]:
@@ -97,9 +106,9 @@ def _blocks(text: str) -> list[tuple[str, int]]:
     for line in text.splitlines():
         s = line.strip()
         if run:
-            if s and not _MARKER.match(s) and not _TABLE.search(s):
+            if s and not _MARKER.match(s) and not _tabular(s):
                 run, n = run + " " + s, n + 1
-                if _ENDS.search(s):
+                if _ENDS.search(s[-8:]):
                     out.append((run, n))
                     run, n = "", 0
                 continue
@@ -107,7 +116,7 @@ def _blocks(text: str) -> list[tuple[str, int]]:
             run, n = "", 0
         if not s:
             continue
-        if len(s) >= 20 and s.count(" ") >= 3 and not _ENDS.search(s) and not _MARKER.match(s) and not _TABLE.search(s) and not _RECORD.search(s):
+        if len(s) >= 20 and s.count(" ") >= 3 and not _ENDS.search(s[-8:]) and not _MARKER.match(s) and not _tabular(s) and not _RECORD.search(s[:60]):
             run, n = s, 1
         else:
             out.append((s, 1))
@@ -126,6 +135,13 @@ def _running(s: str, words: int) -> bool:
     return ja >= 1 and ja * 12 >= len(s) or s[0] in "「『“\"" or words >= 2 and s[0].isupper() and words <= 4
 
 
+def _sound(s: str, size: int) -> bool:
+    """Mostly letters, no control characters, and read like a clause."""
+    kinds = np.bincount(CLASS[np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype="<u4")], minlength=15)
+    share = (kinds[LATIN] + kinds[HIRA] + kinds[KATA] + kinds[HAN] + kinds[LETTER]) / size
+    return share >= 0.55 and kinds[CONTROL] == 0 and _running(s, s.count(" ") + 1)
+
+
 def stats(text: str | None) -> list[float]:
     """The statistics in the order of STAT_NAMES."""
     if not text or not text.strip():
@@ -142,10 +158,14 @@ def stats(text: str | None) -> list[float]:
     # scripts without spaces: a word is a run of one script
     cjk = (kinds == HIRA) | (kinds == KATA) | (kinds == HAN)
     runs = int(np.count_nonzero(cjk[1:] & ((kinds[1:] != kinds[:-1]) | ~cjk[:-1]))) + int(cjk[0])
-    spaced = [w for w in split if not cjk.any()] if not cjk.any() else [w for w in split if w.isascii()]
+    some_cjk = bool(cjk.any())
+    spaced = [w for w in split if w.isascii()] if some_cjk else split
     n_words = len(spaced) + runs
     word_chars = sum(map(len, spaced)) + float(np.count_nonzero(cjk))
-    common = sum(w.lower().strip(".,!?;:“”\"'’()…") in COMMON for w in spaced) + len(COMMON_JA.findall(text)) if cjk.any() else sum(w.lower().strip(".,!?;:“”\"'’()…") in COMMON for w in spaced)
+    common = len(COMMON.intersection(spaced)) and sum(map(COMMON.__contains__, text.lower().split() if not some_cjk else [w.lower() for w in spaced]))
+    common += len(COMMON_JA.findall(text)) if some_cjk else 0
+    # where the whole text is clean and fluent its lines need no look of their own
+    clean = letters >= 0.8 * solid and c[CONTROL] == 0 and common >= 0.15 * n_words
     lists = tables = ended = lines = short = 0
     list_chars = table_chars = prose = unended = total = 0
     for s, physical in _blocks(text):
@@ -153,18 +173,16 @@ def stats(text: str | None) -> list[float]:
         total += size
         lines += physical
         short += physical if size < 20 else 0
-        ends = _ENDS.search(s) is not None
+        ends = _ENDS.search(s[-8:]) is not None
         if _MARKER.match(s):
             lists += physical
             list_chars += size
-        elif _RECORD.search(s) or (_TABLE.search(s) and not (ends and size > 60 and not ("|" in s or "｜" in s or "\t" in s))):
+        elif _RECORD.search(s[:60]) or (_tabular(s) and not (ends and size > 60 and not ("|" in s or "｜" in s or "\t" in s))):
             tables += physical
             table_chars += size
         elif ends:
             ended += physical
-            good = CLASS[np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype="<u4")]
-            share = np.count_nonzero((good <= LETTER) & (good != DIGIT)) / size
-            if share >= 0.55 and not (good == CONTROL).any() and _running(s, s.count(" ") + 1):
+            if clean or _sound(s, size):
                 prose += size
             else:
                 unended += size
@@ -177,7 +195,7 @@ def stats(text: str | None) -> list[float]:
         "end_punct_lines": ended / max(1, lines), "end_marks_per_100": 100 * c[END] / n, "common_words": common / max(1, n_words), "list_lines": lists / max(1, lines),
         "table_lines": tables / max(1, lines), "list_chars": list_chars / total, "table_chars": table_chars / total, "prose_chars": prose / total, "unended_chars": unended / total,
         "distinct_chars": len(np.unique(points)) / np.sqrt(n), "distinct_words": len(set(split)) / max(1, len(split)), "longest_run": longest_run / n,
-        "longest_word": np.log1p(max(map(len, split))), "control_ratio": (c[CONTROL] + c[UNSEEN]) / n, "upper_ratio": sum(map(str.isupper, text)) / max(1.0, c[LATIN]), "short_lines": short / max(1, lines),
+        "longest_word": np.log1p(len(max(split, key=len))), "control_ratio": (c[CONTROL] + c[UNSEEN]) / n, "upper_ratio": float(np.count_nonzero(UPPER[np.minimum(points, 0x2000)])) / max(1.0, c[LATIN]), "short_lines": short / max(1, lines),
     }
     return [float(values[k]) for k in STAT_NAMES]
 
