@@ -80,7 +80,7 @@ VECTOR_SIZE = 96
 
 @query
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = neighbours.nearest(table(spark, sf_dir, "precedent_embedding"), "row_id", "embedding", VECTOR_SIZE)
+    near = neighbours.nearest(table(spark, sf_dir, "precedent_embedding"), "row_id", "embedding", VECTOR_SIZE, target=0.975, floor=0.8)
     near = near.where(F.col("cos") >= 0.8)
     return near.select(F.least("id", "neighbour").alias("id_a"), F.greatest("id", "neighbour").alias("id_b")).distinct()
 
