@@ -163,6 +163,14 @@ def rewriting(counts: dict[str, int]) -> dict[str, str]:
     for s in counts:
         if form(s) != s:
             classes.join(s, form(s))
+    # a base and a mark may come together only when what stands between them, or the width of one, is gone
+    single = {c for s in counts for c in s}
+    marks = [c for c in single if PAIR.fullmatch("a" + c)]
+    for base in single | {form(c) for c in single}:
+        for mark in marks:
+            pair = base + mark
+            if len(base) == 1 and len(form(pair)) == 1:
+                classes.join(pair, form(pair))
     out: dict[str, str] = {}
     for members in classes.members().values():
         fixed = [m for m in members if m == "" or (len(m) > 1 and form(m) == m and not PAIR.fullmatch(m))]

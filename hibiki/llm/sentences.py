@@ -53,11 +53,12 @@ _SPACES = " \t\n\r　\xa0      "
 
 
 def _folded(text: Column) -> Column:
-    """Full-width ASCII to ASCII and Greek and Cyrillic twins to Latin letters, character by character."""
+    """Full-width ASCII to ASCII, Greek and Cyrillic twins to Latin letters, odd spaces to the space, character by character."""
     wide = "".join(map(chr, [*range(0xFF10, 0xFF1A), *range(0xFF21, 0xFF3B), *range(0xFF41, 0xFF5B)]))
     plain = "".join(chr(ord(c) - 0xFEE0) for c in wide)
     twins, latin = "аеорсхуіѕјΑΒΕΖΗΙΚΜΝΟΡΤΥΧАВЕКМНОРСТХІЅЈοανικρυ", "aeopcxyisjABEZHIKMNOPTYXABEKMHOPCTXISJoavikpu"
-    return F.translate(text, wide + twins, plain + latin)
+    spaces = "".join(map(chr, [0xA0, 0x1680, *range(0x2000, 0x200B), 0x202F, 0x205F, 0x3000]))
+    return F.translate(text, wide + twins + spaces, plain + latin + " " * len(spaces))
 
 
 def _masked(text: Column) -> Column:
