@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hibiki.functions import text as T
-from hibiki.operators import align, corpus, holdout, toc, validate
+from hibiki.operators import align, corpus, holdout, sections, toc, validate
 from hibiki.session import table
 
 from .registry import COUNTS, ENTRIES, PARAS, WS, count_of, kind, query, squeezed, trimmed, visible
@@ -331,3 +331,12 @@ def q_align_length_dp(spark, d):
 @query()
 def q_align_shape_counts(spark, d):
     return align.shape_counts(align.aligned(_paras(spark, d)))
+
+
+@query(
+    f"WITH {PARAS}, k AS (SELECT part_id, side, para_index, para_id, {kind('text')} = 'dialogue' AS d FROM para WHERE part_id IS NOT NULL), "
+    "s AS (SELECT *, d AND NOT coalesce(lag(d) OVER (PARTITION BY part_id, side ORDER BY para_index, para_id), false) AS b FROM k), "
+    "r AS (SELECT *, count(*) FILTER (b) OVER (PARTITION BY part_id, side ORDER BY para_index, para_id) AS run FROM s) SELECT part_id, side, run, min(para_index) AS first, count(*) AS lines FROM r WHERE d GROUP BY part_id, side, run"
+)
+def q_dialogue_turns(spark, d):
+    return sections.dialogue_turns(_paras(spark, d).where("part_id is not null"), ["part_id", "side"], ["para_index", "para_id"])

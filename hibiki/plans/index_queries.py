@@ -218,3 +218,15 @@ def q_glossary_entries(spark, d):
 @query("SELECT shape, count(*) AS n FROM precedent GROUP BY shape")
 def q_index_shapes(spark, d):
     return table(spark, d, "precedent").groupBy("shape").agg(F.count("*").alias("n"))
+
+
+@query(
+    "WITH v AS (SELECT row_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM precedent_embedding WHERE len(embedding) = 96) "
+    "SELECT a.row_id, round(list_dot_product(a.e, b.e) / (CASE WHEN list_dot_product(a.e, a.e) = 0 THEN 1 ELSE sqrt(list_dot_product(a.e, a.e)) END * CASE WHEN list_dot_product(b.e, b.e) = 0 THEN 1 ELSE sqrt(list_dot_product(b.e, b.e)) END), 6) AS cosine "
+    "FROM v a JOIN v b ON b.row_id = a.row_id + 1"
+)
+def q_neighbour_cosine(spark, d):
+    """Row-wise similarity of each passage and the next: an equi-join and a built-in dot product."""
+    v = table(spark, d, "precedent_embedding").where("size(embedding) = 96")
+    b = v.select((F.col("row_id") - 1).alias("row_id"), F.col("embedding").alias("other"))
+    return v.join(b, "row_id").select("row_id", F.round(retrieve.cosine(F.col("embedding"), F.col("other")), 6).alias("cosine"))

@@ -12,6 +12,6 @@ os.environ["PYTHONPATH"] = ROOT + os.pathsep + os.environ.get("PYTHONPATH", "")
 def spark():
     from hibiki.session import local_session
 
-    s = local_session("4", 4, "4g")
+    s = local_session("4", 4, "3g")
     s.sparkContext.setLogLevel("ERROR")
     return s

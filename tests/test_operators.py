@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from hibiki.operators import align, answers, audit, boundary, corpus, holdout, ledger, retrieve, toc
+from hibiki.operators import align, answers, audit, boundary, corpus, holdout, ledger, retrieve, sections, toc
 
 
 def parts(spark, n=40, seed=1):
@@ -187,3 +187,25 @@ def test_topk_is_pruned_before_the_shuffle(spark):
     _, df = vectors(spark, 50)
     plan = retrieve.topk(df.limit(2), df, "vec_id", "embedding", "label", 3)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_sections(spark):
+    text = "intro\n## 1. One\nbody one\n## 2) Two\nb\n\n# 1. Again\nlater\n## 99. no\nx"
+    df = spark.createDataFrame([("d", text), ("e", None)], "k string, t string")
+    got = sections.numbered_sections(df, "k", "t")
+    assert {(r["number"], r["name"], r["body"]) for r in got.collect()} == {(1, "Again", "later"), (2, "Two", "b")}
+    assert sections.missing_numbers(got, "k", 1, 3).first()["missing"] == [3]
+
+
+def test_tags_and_prefixes(spark):
+    block = "Chapter (Ada PoV) Part 1 (Bo PoV) Part 2"
+    df = spark.createDataFrame([(block, "Part 2"), (block, "Part 1"), ("Part 3 (Cy PoV)", "Part 3"), ("none", "x")], "b string, l string")
+    assert [r[0] for r in df.select(sections.tag_of_label("b", "l", r"\((\w+) PoV\)")).collect()] == ["bo", "ada", "cy", None]
+    m = spark.createDataFrame([("alpha-2",), ("zeta",)], "m string")
+    assert [r[0] for r in m.select(sections.by_prefix("m", {"alpha": "A"}, "other")).collect()] == ["A", "other"]
+
+
+def test_token_prefix(spark):
+    df = spark.createDataFrame([(1, "abcdef"), (2, "ab"), (3, None)], "k int, t string")
+    got = {r["k"]: (r["text"], r["tokens"], r["shortened"]) for r in sections.token_prefix(df, "k", "t", lambda s: [ord(c) for c in s], lambda i: "".join(map(chr, i)), 4).collect()}
+    assert got == {1: ("abcd", 4, True), 2: ("ab", 2, False), 3: (None, 0, False)}
