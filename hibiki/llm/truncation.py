@@ -92,32 +92,26 @@ def with_shape(df: DataFrame, text: str) -> DataFrame:
     ).drop("_bare", "_open_string", "_closes", "_ended", "_depth", "_after", "_listed", "_marked")
 
 
-def inner_values(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per named string value inside a JSON answer: keys + field, value, complete.
+def measured(shaped: DataFrame) -> DataFrame:
+    """_id, _src, field, chars, bytes, h, complete, cut_end of the whole texts (field '') and the named string values inside JSON.
 
-    Escape pairs count as the one character that they stand for.
+    Only lengths and a hash go on; the texts are read and parsed once and left
+    behind. Escape pairs count as the one character that they stand for.
     """
     pair = r'"([^"]*+)"\s*+:\s*+"([^"]*+)"'
+    item = "array<struct<f: string, v: string>>"
     pairs = F.arrays_zip(
         F.regexp_extract_all("_plain", F.lit(pair), F.lit(1)).alias("f"), F.regexp_extract_all("_plain", F.lit(pair), F.lit(2)).alias("v")
-    )
-    out = df.where("_json").select(*keys, F.explode(pairs).alias("p")).select(*keys, F.col("p.f").alias("field"), F.col("p.v").alias("value"))
-    out = once(out, {"_end": F.regexp_replace(F.right("value", F.lit(80)), rf"{SPACE}++$", "")})
-    return once(out, {"complete": F.col("_end").rlike(END) & ~F.col("_end").rlike(MARKER)}).drop("_end")
-
-
-def measured(shaped: DataFrame) -> DataFrame:
-    """_id, _src, field, chars, bytes, h, complete, cut_end of the whole texts and the values inside them.
-
-    Only lengths and a hash go on; the texts are parsed once and left behind.
-    """
-    values = inner_values(shaped, ["_id", "_src"]).withColumn("cut_end", F.lit(False))
-    whole = shaped.where(F.col("_tail") != "").select(
-        "_id", "_src", F.lit("").alias("field"), F.col("_text").alias("value"), F.col("_complete").alias("complete"), F.col("_cut_end").alias("cut_end")
-    )
-    return whole.unionByName(values).select(
-        "_id", "_src", "field", F.length("value").alias("chars"), F.octet_length("value").alias("bytes"), F.xxhash64("value").alias("h"), "complete", "cut_end"
-    )
+    ).cast(item)
+    whole = F.array(F.struct(F.lit("").alias("f"), F.col("_text").alias("v"))).cast(item)
+    items = F.when(F.col("_json"), F.concat(whole, pairs)).otherwise(whole)
+    out = shaped.where(F.col("_tail") != "").select("_id", "_src", "_complete", "_cut_end", F.posexplode(items).alias("k", "p"))
+    out = once(out, {"_end": F.when(F.col("k") > 0, F.regexp_replace(F.right("p.v", F.lit(80)), rf"{SPACE}++$", ""))})
+    inside = F.col("_end").rlike(END) & ~F.col("_end").rlike(MARKER)
+    return out.select(
+        "_id", "_src", F.when(F.col("k") == 0, "").otherwise(F.concat(F.lit("."), "p.f")).alias("field"), F.length("p.v").alias("chars"), F.octet_length("p.v").alias("bytes"),
+        F.xxhash64("p.v").alias("h"), F.when(F.col("k") == 0, F.col("_complete")).otherwise(inside).alias("complete"), ((F.col("k") == 0) & F.col("_cut_end")).alias("cut_end"),
+    )
 
 
 def limits(values: DataFrame) -> DataFrame:
