@@ -124,7 +124,7 @@ def _eye_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lookalike.same_to_the_eye(_eye_texts(spark, sf_dir), ["unit"], "id", "text", "canonical")
+    return lookalike.same_to_the_eye(cut(_eye_texts(spark, sf_dir)), ["unit"], "id", "text", "canonical")
 
 
 @query
