@@ -1,5 +1,6 @@
 """Each sequential operator against a plain loop, and the invariants of the rest."""
 
+import math
 import random
 
 import numpy as np
@@ -126,6 +127,45 @@ def test_alignment_is_monotone_and_whole(spark):
     assert covered == list(range(300))
 
 
+def _loop_path(jp, en):
+    """The table cell by cell."""
+    score, step = {(0, 0): 0.0}, {}
+    for i in range(len(jp) + 1):
+        for j in range(len(en) + 1):
+            for a, b, prior in align.SHAPES:
+                if (i - a, j - b) in score:
+                    total = score[i - a, j - b] + math.log(prior) - (align.length_z(sum(jp[i - a : i]), sum(en[j - b : j])) ** 2 / 2 if a and b else 0)
+                    if total > score.get((i, j), -math.inf):
+                        score[i, j], step[i, j] = total, (a, b)
+    out, at = [], (len(jp), len(en))
+    while at != (0, 0):
+        (i, j), (a, b) = at, step[at]
+        out.append((i - a, i, j - b, j))
+        at = (i - a, j - b)
+    return out[::-1]
+
+
+def test_length_alignment_equals_the_loop(monkeypatch):
+    monkeypatch.setattr(align, "LEAST_APART", 4)
+    monkeypatch.setattr(align, "KEPT", 8)
+    r = random.Random(5)
+    for n, m in [(0, 3), (3, 0), (1, 1), (1, 9), (9, 1), (2, 2), (17, 23), (40, 31), (60, 60)]:
+        jp = [r.randint(1, 90) for _ in range(n)]
+        en = [max(1, round(2.77 * x + r.gauss(0, 20))) for x in jp][: m] + [r.randint(1, 250) for _ in range(m - n)]
+        assert align.best_path(jp, en) == _loop_path(jp, en)
+
+
+def test_a_long_part_with_omissions_is_one_path(spark):
+    r = random.Random(3)
+    jp = [r.randint(5, 120) for _ in range(260)]
+    en = [max(1, round(2.77 * x)) for i, x in enumerate(jp) if not 20 <= i < 45]
+    rows = [Row(para_id=i, part_id="p", side=s, para_index=i, kind="narration", text="x" * x) for s, side in (("jp", jp), ("en", en)) for i, x in enumerate(side)]
+    got = align.aligned(spark.createDataFrame(rows, "para_id long, part_id string, side string, para_index long, kind string, text string")).collect()
+    last = lambda a, b: (a, b - 1) if b > a else (None, None)
+    assert {(x["jp_from"], x["jp_to"], x["en_from"], x["en_to"]) for x in got} == {(*last(a, b), *last(c, d)) for a, b, c, d in _loop_path(jp, en)}
+    assert sum(x["shape"] == "1:1" and x["en_from"] == x["jp_from"] - 25 for x in got if x["jp_from"] and x["jp_from"] >= 45) > 200
+
+
 def test_verify_and_gaps(spark):
     p = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "id string")
     c = spark.createDataFrame([("a", "jp", 4), ("a", "en", 4), ("b", "jp", 4), ("b", "en", 2), ("c", "jp", 1)], "part_id string, side string, n_paragraphs long")
