@@ -59,6 +59,12 @@ def q_verdict_history(spark, d):
     return ledger.history(_run(spark, d), _LABELS)
 
 
+@query(f"WITH {_RUN} SELECT issue, label, verdict FROM run")
+def q_verdict_history_all(spark, d):
+    """The history across every run, in long form: q_verdict_history's SQL holds seven labels only."""
+    return _run(spark, d)
+
+
 @query(
     f"WITH {_RUN}, {_ISSUE}, f AS (SELECT issue, verdict FROM run WHERE label = '2024-01-01') SELECT i.issue, i.category, coalesce(f.verdict, 'UNCLEAR') AS verdict, "
     "CASE WHEN f.issue IS NULL THEN 'low' ELSE 'high' END AS confidence FROM issue i LEFT JOIN f ON f.issue = i.issue"

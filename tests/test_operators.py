@@ -204,6 +204,16 @@ def test_scorecard_drops_orphans_and_history_keeps_them(spark):
     assert [r["change"] for r in ledger.changes(now, old).collect()] == ["regression"]
 
 
+def test_the_whole_history_has_every_label(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    days = [f"2024-{m:02d}-{d:02d}" for m in (1, 2, 12) for d in range(1, 29)]
+    rows = [(i, i % 3, f"{x} 10:00:00", "error") for i, x in enumerate(days)] + [(900, 0, f"{days[0]} 11:00:00", "purchase")]
+    spark.createDataFrame(rows, "event_id long, user_id int, ts string, event_type string").withColumn("ts", F.to_timestamp("ts")).write.parquet(str(tmp_path / "events.parquet"))
+    got = {(r["issue"], r["label"]): r["verdict"] for r in entry.queries()["q_verdict_history_all"](spark, str(tmp_path)).collect()}
+    assert got == {(i % 3, x): "PRESENT" for i, x in enumerate(days)} | {(0, days[0]): "RESOLVED"}
+
+
 def test_follow_ups(spark):
     rows = [("c", 0, "a", "x"), ("c", 1, "u", "q"), ("c", 2, "a", "r1"), ("c", 3, "a", "r2"), ("c", 4, "u", "q2")]
     df = spark.createDataFrame(rows, "chat string, n int, role string, text string")
