@@ -25,7 +25,7 @@ from hibiki.session import cut
 
 #: A limit is not looked for below this length: short values are words of a list.
 MIN_LIMIT = 32
-#: A limit holds at least so many values, and so many times a neighbouring length's.
+#: A limit holds at least so many distinct values, and so many times a neighbouring length's.
 MIN_AT_LIMIT, TIMES_NEIGHBOUR, REACH = 5, 6.0, 10
 #: Some writers cut back to a word or clause: open values down to this share of a limit are cut too.
 CUT_BACK = 0.9
@@ -122,14 +122,9 @@ def limits(values: DataFrame) -> DataFrame:
     hot source is spread by field, length and hash.
     """
     units = F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("len")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("len"))))
-    by_value = (
-        values.select("_src", "field", "complete", "h", units.alias("u"))
-        .groupBy("_src", "field", "u.unit", "u.len", "h")
-        .agg(F.count("*").alias("n"), F.count_if(~F.col("complete")).alias("n_open"))
-    )
-    by_len = by_value.groupBy("_src", "field", "unit", "len").agg(
-        F.sum("n").alias("n"), F.sum("n_open").alias("n_open"), F.count("*").alias("n_distinct")
-    )
+    # copies neither make a limit nor hide one: each value counts once
+    by_value = values.select("_src", "field", "complete", "h", units.alias("u")).select("_src", "field", "u.unit", "u.len", "h", "complete").distinct()
+    by_len = by_value.groupBy("_src", "field", "unit", "len").agg(F.count("*").alias("n"), F.count_if(~F.col("complete")).alias("n_open"))
     around = Window.partitionBy("_src", "field", "unit").orderBy("len").rangeBetween(-REACH, REACH)
     beside = (F.sum("n").over(around) - F.col("n")) / (2.0 * REACH)
     return (
@@ -139,7 +134,6 @@ def limits(values: DataFrame) -> DataFrame:
             & (F.col("n_open") >= MIN_AT_LIMIT)
             & (F.col("n") >= TIMES_NEIGHBOUR * F.greatest(F.col("beside"), F.lit(0.25)))
             & (F.col("n_open") >= 0.5 * F.col("n"))
-            & (F.col("n_distinct") >= 0.5 * F.col("n"))
         )
         .select("_src", "field", "unit", F.col("len").alias("limit"), "n", "n_open")
     )

@@ -46,6 +46,26 @@ def test_a_limit_of_values_inside_answers(spark):
     assert len(want) > 20 and got == want
 
 
+@pytest.mark.parametrize("copied", ["cut at the limit", "whole at the limit", "whole beside the limit"])
+def test_copies_hide_no_limit(spark, copied):
+    def answer(note):
+        return json.dumps({"phrase_pairs": [{"jp_span": "雨", "notes": note}], "paragraph_pairs": []})
+
+    rows, want = [], set()
+    for i in range(200):
+        note = f"Note {i}: " + "word " * (8 + i % 37) + "end."
+        if i % 3 == 0 and len(note) > 90:
+            note = note[:90]
+            want.add(i)
+        rows.append((i, "capped", answer(note)))
+    one = {"cut at the limit": "Copy: " + "word " * 16 + "wo", "whole at the limit": "Copy: " + "word " * 16 + "en.", "whole beside the limit": "Copy: " + "word " * 15 + "end."}[copied]
+    one = one + "d" * (90 - len(one)) if copied == "cut at the limit" else one[:-1] + "d" * ((90 if "at" in copied else 85) - len(one)) + "."
+    rows += [(1000 + i, "capped", answer(one)) for i in range(1000)]
+    if copied == "cut at the limit":
+        want |= set(range(1000, 2000))
+    assert cut_ids(answers(spark, rows)) == want
+
+
 def test_lists_of_words_are_no_limit(spark):
     rows = [(i, "m", json.dumps({"risks": [{"category": "x" * 40 if i % 2 else "y" * 35}]})) for i in range(100)]
     assert cut_ids(answers(spark, rows)) == set()
