@@ -122,6 +122,19 @@ def test_neighbours_cut_crowded_groups(spark, monkeypatch):
     assert r["recall"] >= 0.93
 
 
+def test_recall_is_that_of_rows(spark):
+    m = clustered(500)
+    m[200:365] = m[7]  # a third are copies
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "row_id long, embedding array<float>")
+    options = {"sample": 300, "leaves": 16, "calibration": 100, "target": 0.8}
+    r = neighbours.recall(df, "row_id", "embedding", 16, 5, each=5, **options).first()
+    want, got = truth(m, 5), {}
+    for x in neighbours.nearest(df, "row_id", "embedding", 16, 5, **options).where("id % 5 = 0").collect():
+        got.setdefault(x["id"], set()).add(x["neighbour"])
+    found = sum(len(got[i] & set(want[i])) for i in range(0, 500, 5))
+    assert (r["queries"], r["truth"], r["found"], r["recall"]) == (100, 500, found, found / 500)
+
+
 def test_neighbours_of_few(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1])], "row_id long, embedding array<float>")
     assert {(r["id"], r["neighbour"]) for r in neighbours.nearest(df, "row_id", "embedding", 2).collect()} == {(1, 2), (2, 1)}
