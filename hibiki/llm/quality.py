@@ -1,20 +1,27 @@
 """Problem 9: per-document text statistics, and which documents are no natural prose.
 
 Statistics are taken in one pass over Arrow batches: code points are looked up
-in a table of character classes and counted by numpy, lines are judged by their
-marks and ends. Gradient-boosted trees are trained on the statistics of a
-bounded sample (`SAMPLE` documents, the smallest hashes of their ids). Labels
-are weak: documents whose characters nearly all stand in prose, or nearly none,
-by the line rules; and mixtures of two such documents in known parts, labelled
-by which part is larger, so that the trees learn where half lies. The margins
-are calibrated (logistic scaling) on the hand-checked texts of quality_holdout.
+in a table of character classes and counted by numpy, lines are described by how
+they start and end and by the separators in them. No statistic says by itself
+what is prose; gradient-boosted trees find that out from all of them.
+
+Weak labels don't come from the statistics. Training documents are put together
+from passages that the corpus itself marks as prose (a bounded sample of them)
+in many layouts, and from structural junk made of the same passages: lists,
+numbered sentences, tables with sentences in their cells, navigation, records,
+data, logs, and destroyed text. As the pieces are known, so is the share of
+prose in each document, and with it the label. The margins are calibrated
+(logistic scaling) on the hand-checked texts of quality_holdout, which take no
+part in the training.
 
 Defined results: a null, empty or blank text has counts of 0, ratios of 0 and
-is no prose. Repeated rows are judged alike. Any length is read whole.
+is no prose. Repeated rows are judged alike. Any length is read whole. Without
+any marked passage the hand-checked prose is all that the trees learn from.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -27,10 +34,9 @@ from pyspark.sql import functions as F
 
 from .quality_holdout import CHECKED
 
-#: Bound of the labelled sample, and of the length of its documents.
-SAMPLE, SAMPLE_CHARS = 3000, 20_000
-MIXTURES = 2000
-TREES, DEPTH, RATE, BINS = 60, 4, 0.15, 48
+#: Bound of the labelled passages (the smallest hashes of their texts), and training documents made of them.
+SAMPLE, MADE = 4000, 8000
+TREES, DEPTH, RATE, BINS = 120, 5, 0.1, 48
 
 LATIN, DIGIT, HIRA, KATA, HAN, LETTER, SPACE, BREAK, END, PUNCT, TECH, CONTROL, UNSEEN, MARK, OTHER = range(15)
 
@@ -43,23 +49,17 @@ COMMON_JA = re.compile("[はがをにでともへのやか]|から|まで|った
 
 STAT_NAMES = [
     "n_chars", "n_words", "mean_word_len", "symbol_ratio", "digit_ratio", "space_ratio", "letter_ratio", "kana_share", "n_lines", "mean_line_len",
-    "end_punct_lines", "end_marks_per_100", "common_words", "list_lines", "table_lines", "list_chars", "table_chars", "prose_chars", "unended_chars",
-    "distinct_chars", "distinct_words", "longest_run", "longest_word", "control_ratio", "upper_ratio", "short_lines",
+    "end_punct_lines", "end_punct_chars", "end_marks_per_100", "common_words", "marker_lines", "marker_chars", "separator_lines", "separator_chars", "commas_per_100",
+    "brackets_per_100", "figure_lines", "opener_lines", "small_start_lines", "distinct_chars", "distinct_words", "longest_run", "longest_word", "control_ratio", "upper_ratio",
+    "short_lines", "capital_words", "kind_changes",
 ]
 COUNTS = ("n_chars", "n_words", "n_lines")
 
-_ENDS = re.compile(r"(?:[.!?。！？؟।…]|\.\.\.)[”\"’'»)\]」』）]*$|[」』”]$")
-_MARKER = re.compile(r"(?:[-*•・●○◦‣▪+–—]|[(\[（]?\d{1,5}[.)\]）．、:：]|[①-⑳]|#{1,6}|[A-Za-z][.)]|(?:Part|Chapter|第)\s*\d+\s*[:：章話回]?)(?=\s|[^\d.\s])\s*")
-_RECORD = re.compile(r"(?:\d{1,4}[-:/]\d{1,2}[-:/]\d{1,4}\S*\s)|^\s*[\[{<}]|^[\w.\-]+\s*[=:]\s*\S+$|^\d+,")
-_LEADER = re.compile(r"(?:\.{3,}|…+)\s*\d+$")
-_COLUMNS = re.compile(r"\s{2,}\S+\s{2,}")
-
-
-def _tabular(s: str) -> bool:
-    """The line has cells: separators, leaders to a number, or columns set by spaces."""
-    if "|" in s or "｜" in s or "\t" in s or " / " in s or s.count(",") >= 6:
-        return True
-    return (s[-1].isdigit() and _LEADER.search(s) is not None) or ("  " in s and _COLUMNS.search(s) is not None)
+END_MARKS = ".!?。！？؟।…"
+CLOSERS = "\"'”’»)]」』）】"
+_MARKER = re.compile(r"[-*•・●○◦‣▪+–—](?=\s|[^\s\d.\-*=_–—])|[(\[（]?\d{1,5}[.)\]）．、:：](?=\s|[^\d.\s])|[①-⑳]|#{1,6}\s|[A-Za-z][.)]\s|(?:Part|Chapter|Section|第)\s*\d+\s*[:：章話回]?")
+_GAPS = re.compile(r"\S(?: {2,}|\t+)\S")
+_STRIP = ".,;:!?…\"'“”‘’()[]{}«»*_"
 
 
 def _table() -> np.ndarray:
@@ -99,49 +99,6 @@ CLASS = _table()
 UPPER = np.array([chr(i).isupper() for i in range(0x2000)] + [False])
 
 
-def _blocks(text: str) -> list[tuple[str, int]]:
-    """(logical line, physical lines): hard-wrapped lines of running words are put together again."""
-    out: list[tuple[str, int]] = []
-    run, n = "", 0
-    for line in text.splitlines():
-        s = line.strip()
-        if run:
-            if s and not _MARKER.match(s) and not _tabular(s):
-                run, n = run + " " + s, n + 1
-                if _ENDS.search(s[-8:]):
-                    out.append((run, n))
-                    run, n = "", 0
-                continue
-            out.append((run, n))
-            run, n = "", 0
-        if not s:
-            continue
-        if len(s) >= 20 and s.count(" ") >= 3 and not _ENDS.search(s[-8:]) and not _MARKER.match(s) and not _tabular(s) and not _RECORD.search(s[:60]):
-            run, n = s, 1
-        else:
-            out.append((s, 1))
-    if run:
-        out.append((run, n))
-    return out
-
-
-def _running(s: str, words: int) -> bool:
-    """The words of a line read like a clause."""
-    if words >= 3:
-        hits = sum(w in COMMON for w in s.lower().replace("“", "").replace('"', "").split())
-        if hits >= max(1, words // 10):
-            return True
-    ja = len(COMMON_JA.findall(s))
-    return ja >= 1 and ja * 12 >= len(s) or s[0] in "「『“\"" or words >= 2 and s[0].isupper() and words <= 4
-
-
-def _sound(s: str, size: int) -> bool:
-    """Mostly letters, no control characters, and read like a clause."""
-    kinds = np.bincount(CLASS[np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype="<u4")], minlength=15)
-    share = (kinds[LATIN] + kinds[HIRA] + kinds[KATA] + kinds[HAN] + kinds[LETTER]) / size
-    return share >= 0.55 and kinds[CONTROL] == 0 and _running(s, s.count(" ") + 1)
-
-
 def stats(text: str | None) -> list[float]:
     """The statistics in the order of STAT_NAMES."""
     if not text or not text.strip():
@@ -158,44 +115,45 @@ def stats(text: str | None) -> list[float]:
     # scripts without spaces: a word is a run of one script
     cjk = (kinds == HIRA) | (kinds == KATA) | (kinds == HAN)
     runs = int(np.count_nonzero(cjk[1:] & ((kinds[1:] != kinds[:-1]) | ~cjk[:-1]))) + int(cjk[0])
-    some_cjk = bool(cjk.any())
+    some_cjk = bool(runs)
     spaced = [w for w in split if w.isascii()] if some_cjk else split
     n_words = len(spaced) + runs
     word_chars = sum(map(len, spaced)) + float(np.count_nonzero(cjk))
-    common = len(COMMON.intersection(spaced)) and sum(map(COMMON.__contains__, text.lower().split() if not some_cjk else [w.lower() for w in spaced]))
+    bare = [w.strip(_STRIP) for w in spaced]
+    common = sum(map(COMMON.__contains__, map(str.lower, bare)))
     common += len(COMMON_JA.findall(text)) if some_cjk else 0
-    # where the whole text is clean and fluent its lines need no look of their own
-    clean = letters >= 0.8 * solid and c[CONTROL] == 0 and common >= 0.15 * n_words
-    lists = tables = ended = lines = short = 0
-    list_chars = table_chars = prose = unended = total = 0
-    for s, physical in _blocks(text):
+    total = lines = ended = ended_chars = marked = marked_chars = parted = parted_chars = figures = opened = small = short = 0
+    for line in text.splitlines():
+        s = line.strip()
+        if not s:
+            continue
         size = len(s)
         total += size
-        lines += physical
-        short += physical if size < 20 else 0
-        ends = _ENDS.search(s[-8:]) is not None
+        lines += 1
+        short += size < 20
+        first, core = s[0], s.rstrip(CLOSERS)
+        if core and core[-1] in END_MARKS or s[-1] in "」』”":
+            ended += 1
+            ended_chars += size
         if _MARKER.match(s):
-            lists += physical
-            list_chars += size
-        elif _RECORD.search(s[:60]) or (_tabular(s) and not (ends and size > 60 and not ("|" in s or "｜" in s or "\t" in s))):
-            tables += physical
-            table_chars += size
-        elif ends:
-            ended += physical
-            if clean or _sound(s, size):
-                prose += size
-            else:
-                unended += size
-        else:
-            unended += size
-    total = max(1, total)
+            marked += 1
+            marked_chars += size
+        if "|" in s or "｜" in s or "\t" in s or " / " in s or _GAPS.search(s):
+            parted += 1
+            parted_chars += size
+        figures += first.isdigit() or s[-1].isdigit()
+        opened += first in "「『“\"‘"
+        small += first.islower()
+    total, lines_ = max(1, total), max(1, lines)
     values = {
         "n_chars": n, "n_words": n_words, "mean_word_len": word_chars / max(1, n_words), "symbol_ratio": (c[TECH] + c[OTHER]) / solid, "digit_ratio": c[DIGIT] / solid,
-        "space_ratio": c[SPACE] / n, "letter_ratio": letters / solid, "kana_share": c[HIRA] / max(1.0, c[HIRA] + c[KATA] + c[HAN]), "n_lines": lines, "mean_line_len": total / max(1, lines),
-        "end_punct_lines": ended / max(1, lines), "end_marks_per_100": 100 * c[END] / n, "common_words": common / max(1, n_words), "list_lines": lists / max(1, lines),
-        "table_lines": tables / max(1, lines), "list_chars": list_chars / total, "table_chars": table_chars / total, "prose_chars": prose / total, "unended_chars": unended / total,
-        "distinct_chars": len(np.unique(points)) / np.sqrt(n), "distinct_words": len(set(split)) / max(1, len(split)), "longest_run": longest_run / n,
-        "longest_word": np.log1p(len(max(split, key=len))), "control_ratio": (c[CONTROL] + c[UNSEEN]) / n, "upper_ratio": float(np.count_nonzero(UPPER[np.minimum(points, 0x2000)])) / max(1.0, c[LATIN]), "short_lines": short / max(1, lines),
+        "space_ratio": c[SPACE] / n, "letter_ratio": letters / solid, "kana_share": c[HIRA] / max(1.0, c[HIRA] + c[KATA] + c[HAN]), "n_lines": lines, "mean_line_len": total / lines_,
+        "end_punct_lines": ended / lines_, "end_punct_chars": ended_chars / total, "end_marks_per_100": 100 * c[END] / n, "common_words": common / max(1, n_words),
+        "marker_lines": marked / lines_, "marker_chars": marked_chars / total, "separator_lines": parted / lines_, "separator_chars": parted_chars / total,
+        "commas_per_100": 100 * text.count(",") / n, "brackets_per_100": 100 * sum(map(text.count, "{}[]<>=")) / n, "figure_lines": figures / lines_, "opener_lines": opened / lines_,
+        "small_start_lines": small / lines_, "distinct_chars": len(np.unique(points)) / np.sqrt(n), "distinct_words": len(set(split)) / max(1, len(split)), "longest_run": longest_run / n,
+        "longest_word": np.log1p(len(max(split, key=len))), "control_ratio": (c[CONTROL] + c[UNSEEN]) / n, "upper_ratio": float(np.count_nonzero(UPPER[np.minimum(points, 0x2000)])) / max(1.0, c[LATIN]),
+        "short_lines": short / lines_, "capital_words": sum(w[:1].isupper() for w in bare) / max(1, len(bare)), "kind_changes": np.count_nonzero(kinds[1:] != kinds[:-1]) / n,
     }
     return [float(values[k]) for k in STAT_NAMES]
 
@@ -276,40 +234,183 @@ def calibrate(model: Trees, x: np.ndarray, y: np.ndarray) -> None:
     model.scale = (float(max(w[0], 0.05)), float(w[1]))
 
 
-def weak_label(s: list[float]) -> int | None:
-    """1: no prose, 0: prose, None: not sure, by the line rules alone."""
-    share = s[STAT_NAMES.index("prose_chars")]
-    return 0 if share >= 0.9 else 1 if share <= 0.1 else None
+def _terms(passage: str) -> list[str]:
+    """Words and short word groups of a passage, as lists and tables have them."""
+    words = [w.strip(_STRIP) for w in passage.split()]
+    if len(words) > 2:
+        return [" ".join(words[i : i + k]) for i in range(len(words)) for k in (1, 2, 3, 5, 7) if all(words[i : i + k])] or [passage[:8]]
+    return re.findall(r"[㐀-鿿々]+|[ァ-ヺー]{2,}|[㐀-鿿]+[ぁ-ゟ]{1,2}", passage) or [passage[:8]]
+
+
+class Maker:
+    """Training documents of known content, from passages of prose."""
+
+    def __init__(self, passages: list[str], rng: np.random.Generator) -> None:
+        self.rng, self.passages = rng, passages
+        self.groups = {True: [p for p in passages if p.count(" ") >= 3], False: [p for p in passages if p.count(" ") < 3]}
+        self.kinds = [self.items, self.numbered, self.cells, self.bars, self.delimited, self.records, self.data, self.navigation, self.pairs, self.contents, self.contents, self.words, self.destroyed, self.repeated, self.symbols, self.log, self.settings]
+
+    def some(self, n: int) -> list[str]:
+        """Passages of one kind of script."""
+        own = self.groups[bool(self.rng.random() < 0.5)] or self.passages
+        return [own[i] for i in self.rng.integers(len(own), size=n)]
+
+    def one(self, choices):
+        return choices[self.rng.integers(len(choices))]
+
+    def number(self, top: int) -> int:
+        return int(self.rng.integers(top))
+
+    def size(self, top: int = 24) -> int:
+        return 1 + int(top * self.rng.random() ** 2)
+
+    def terms(self, n: int) -> list[str]:
+        return [self.one(_terms(p)) for p in self.some(n)]
+
+    def prose(self) -> str:
+        out, spaced = [], bool(self.rng.random() < 0.5)
+        own = self.groups[spaced] or self.passages
+        if self.rng.random() < 0.1:  # talk in short lines
+            own = sorted(own, key=len)[: max(1, len(own) // 5)]
+        for _ in range(self.size(14)):
+            line = (" " if spaced else "").join(own[i] for i in self.rng.integers(len(own), size=self.size(6)))
+            out.append(line)
+        text = self.one(["\n", "\n", "\n\n", "\n　"]).join(out)
+        how = self.rng.random()
+        if how < 0.2:  # wrapped at a width
+            width, lines = 40 + self.number(50), []
+            for line in text.split("\n"):
+                while len(line) > width:
+                    at = line.rfind(" ", 0, width)
+                    at = at if at > 0 else width
+                    lines.append(line[:at])
+                    line = line[at:].lstrip()
+                lines.append(line)
+            text = "\n".join(lines)
+        elif how < 0.3:
+            text = self.one(["# ", "## ", "", "Part ", "第"]) + self.one([self.one(self.terms(1)), str(self.number(300))]) + "\n\n" + text
+        elif how < 0.35:
+            text = text.rstrip("".join(END_MARKS) + CLOSERS)
+        elif how < 0.4:
+            text = text.lower()
+        elif how < 0.44:
+            text += "\n" + self.one(["***", "※　※　※", "---", "◇"])
+        return text
+
+    def items(self) -> str:
+        mark = self.one(["- ", "* ", "• ", "・", "– ", "● ", "+ "])
+        return "\n".join(mark + x for x in (self.terms(2 + self.size()) if self.rng.random() < 0.6 else self.some(2 + self.size(9))))
+
+    def numbered(self) -> str:
+        form = self.one(["{}. ", "{}) ", "({}) ", "{}．", "{}、", "[{}] ", "{}: "])
+        return "\n".join(form.format(i + 1) + x for i, x in enumerate(self.some(2 + self.size(12)) if self.rng.random() < 0.6 else self.terms(2 + self.size())))
+
+    def cells(self) -> str:
+        k, bar = 2 + self.number(3), self.one([" | ", "｜", "\t", "|"])
+        long = self.rng.random() < 0.35
+        rows = [bar.join((self.some(k) if long else self.terms(k - 1) + [str(self.number(900))])) for _ in range(2 + self.size(14))]
+        if bar == " | " and self.rng.random() < 0.7:
+            rows = ["| " + r + " |" for r in rows]
+            rows.insert(1, "|" + "---|" * k)
+        return "\n".join(rows)
+
+    def bars(self) -> str:
+        return "\n".join(f"{t:<{10 + self.number(8)}} {self.number(999):>5} {self.number(9999) / 100:>6.2f}% " + "#*="[self.number(3)] * self.number(12) for t in self.terms(2 + self.size(14)))
+
+    def delimited(self) -> str:
+        mark = self.one([",", ";", ","])
+        rows = [mark.join([str(i), *(f'"{x}"' for x in self.some(1 + self.number(2))), f"{self.rng.random():.2f}"]) if self.rng.random() < 0.9 else str(i) for i in range(2 + self.size(12))]
+        if self.rng.random() < 0.4:
+            rows = [mark.join([str(i), *self.terms(2), str(self.number(500))]) for i in range(2 + self.size(16))]
+        return "\n".join([mark.join(self.terms(3)), *rows])
+
+    def records(self) -> str:
+        keys = self.terms(3)
+        rows = [{k: self.one([self.one(self.terms(1)), self.number(99), True, self.one(self.some(1))]) for k in keys} for _ in range(1 + self.size(6))]
+        return json.dumps(rows if self.rng.random() < 0.7 else rows[0], ensure_ascii=False, indent=self.one([None, 1, 2]))
+
+    def data(self) -> str:
+        return "\n".join(" ".join(f"{self.rng.normal() * 10:.{1 + self.number(4)}f}" for _ in range(3 + self.number(8))) for _ in range(1 + self.size(14)))
+
+    def navigation(self) -> str:
+        few = self.terms(4 + self.number(8)) + ["Home", "Next", "Log in"][: self.number(4)]
+        return self.one([" | ", "\n", " > ", " · ", " / ", " » "]).join(self.one(few) for _ in range(4 + self.size(40)))
+
+    def pairs(self) -> str:
+        mark = self.one([" / ", ": ", " = ", " → ", " — "])
+        return "\n".join(mark.join(self.terms(2)) for _ in range(2 + self.size()))
+
+    def contents(self) -> str:
+        lead = self.one([" ... ", " ...... ", "……", "\t", "  "])
+        return "\n".join(self.one(["", f"{i + 1}. ", f"Chapter {i + 1}: "]) + t + lead + str(self.number(400)) for i, t in enumerate(self.terms(2 + self.size())))
+
+    def words(self) -> str:
+        return self.one([" ", "\n", ", ", "、", "　"]).join(self.terms(5 + self.size(40))) + self.one(["", "", ".", "。", "…"])
+
+    def destroyed(self) -> str:
+        text = "".join(self.some(1 + self.size(6)))
+        how = self.number(4)
+        if how == 0:
+            return text.encode("utf-8").decode("latin-1")
+        chars = np.array(list(text), dtype=object)
+        if how == 1:
+            self.rng.shuffle(chars)
+        elif how == 2:
+            chars[self.rng.random(len(chars)) < 0.4] = "\ufffd"
+        else:
+            chars = np.array([c if self.rng.random() < 0.5 else chr(33 + self.number(15)) for c in chars], dtype=object)
+        return "".join(chars)
+
+    def repeated(self) -> str:
+        return self.one([self.one(list(self.one(self.some(1)))) or "x", "=-", "_", "!", "！", "wow "]) * (20 + self.number(300))
+
+    def symbols(self) -> str:
+        signs = "{}[]<>|=/\\#@~^*_%$&+`;:!?0123456789x "
+        return "".join(self.one(signs) for _ in range(30 + self.number(400)))
+
+    def log(self) -> str:
+        words = self.terms(3)
+        return "\n".join(f"{self.number(24):02}:{self.number(60):02}:{self.number(60):02} {self.one(['INFO', 'WARN', 'ERROR'])} {self.one(words)}[{self.number(99)}] {self.one('abcdef')}={self.number(9)} {self.one('uvwxyz')}=0x{self.number(65535):x}" for _ in range(2 + self.size(20)))
+
+    def settings(self) -> str:
+        return "\n".join(f"{self.one(self.terms(1)).replace(' ', '_')}{self.one([' = ', ': ', '='])}{self.number(500)}" for _ in range(3 + self.size(14)))
+
+    def junk(self) -> str:
+        return self.one(self.kinds)()
+
+    def document(self) -> tuple[str, float]:
+        """(text, share of its characters in prose)"""
+        how = self.rng.random()
+        if how < 0.32:
+            return self.prose(), 1.0
+        if how < 0.64:
+            return self.junk(), 0.0
+        a, b = self.prose(), self.junk()
+        if how < 0.76:  # a short piece of the other kind
+            if self.rng.random() < 0.5:
+                b = "\n".join(b.splitlines()[: 1 + self.number(4)])[: len(a) // 2]
+            else:
+                a = a.split("\n")[0][: max(10, len(b) // 2)]
+        parts = [a, b] if self.rng.random() < 0.5 else [b, a]
+        return self.one(["\n", "\n\n"]).join(parts), len(a) / max(1, len(a) + len(b))
 
 
-def train(texts: list[str], seed: int = 5) -> Trees:
-    """Trees from a bounded sample of texts and the hand-checked ones."""
+def train(passages: list[str], seed: int = 5, made: int = MADE) -> Trees:
+    """Trees from documents made of passages of prose; calibrated on the hand-checked texts."""
     rng = np.random.default_rng(seed)
-    rows = [(t, s, weak_label(s)) for t in texts if t and t.strip() for s in [stats(t)]]
-    prose, junk = [r for r in rows if r[2] == 0], [r for r in rows if r[2] == 1]
-    # with few documents the hand-checked texts lend the lacking kind
-    prose += [(t, stats(t), 0) for t, good in CHECKED if good] if len(prose) < 30 else []
-    junk += [(t, stats(t), 1) for t, good in CHECKED if not good] if len(junk) < 30 else []
-    x, y = [r[1] for r in prose + junk], [r[2] for r in prose + junk]
-    for _ in range(min(MIXTURES, 10 * min(len(prose), len(junk)))):
-        a, b = prose[rng.integers(len(prose))][0], junk[rng.integers(len(junk))][0]
-        a, b = a.splitlines(), b.splitlines()
-        a, b = a[: 1 + rng.integers(len(a))], b[: 1 + rng.integers(len(b))]
-        na, nb = sum(map(len, a)), sum(map(len, b))
-        text = "\n".join(a + b if rng.random() < 0.5 else b + a)
-        x.append(stats(text))
-        y.append(int(nb > na))
-    model = boost(np.array(x), np.array(y, float))
+    maker = Maker([p for p in passages if p and p.strip()] or [t for t, good in CHECKED if good], rng)
+    docs = [maker.document() for _ in range(made)]
+    model = boost(np.array([stats(t) for t, _ in docs]), np.array([float(share < 0.5) for _, share in docs]))
     calibrate(model, np.array([stats(t) for t, _ in CHECKED]), np.array([0.0 if good else 1.0 for _, good in CHECKED]))
     return model
 
 
-def trained(docs: DataFrame, row_id: str, text: str, sample: int = SAMPLE) -> Trees:
-    """Trees from the documents with the `sample` smallest id hashes; ids go first, then the texts chosen."""
-    h = F.xxhash64(F.lit(41), row_id)
-    fit = docs.where(F.length(text).between(1, SAMPLE_CHARS))
-    last = fit.select(h.alias("h")).orderBy("h").limit(sample).agg(F.max("h")).first()[0]
-    chosen = [] if last is None else [r[0] for r in fit.where(h <= last).select(text).collect()]
+def trained(prose: DataFrame, text: str, sample: int = SAMPLE) -> Trees:
+    """Trees from the `sample` distinct passages with the smallest hashes; hashes go first, then the texts chosen."""
+    h = F.xxhash64(F.lit(41), text)
+    some = prose.where(F.length(text) > 0)
+    last = some.select(h.alias("h")).distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    chosen = [] if last is None else [r[0] for r in some.where(h <= last).select(text).distinct().collect()]
     return train(sorted(chosen))
 
 

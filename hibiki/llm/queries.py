@@ -169,13 +169,17 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.shares_report(cut(p8_draws(spark, sf_dir)), table(spark, sf_dir, "mix_target"))
 
 
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and p_junk of all documents; the trees learn from paragraphs that are marked as prose."""
+    prose = table(spark, sf_dir, "paragraphs").where("kind in ('narration', 'dialogue')").select("text")
+    return quality.statistics(table(spark, sf_dir, "documents"), "doc_id", "text", quality.trained(prose, "text"))
+
+
 @query
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return quality.statistics(docs, "doc_id", "text", quality.trained(docs, "doc_id", "text")).where("p_junk >= 0.5").select("doc_id").distinct()
+    return _judged(spark, sf_dir).where("p_junk >= 0.5").select("doc_id").distinct()
 
 
 @query
 def p9_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return quality.statistics(docs, "doc_id", "text", quality.trained(docs, "doc_id", "text"))
+    return _judged(spark, sf_dir)

@@ -164,28 +164,43 @@ def test_quality_on_held_out_texts(spark):
     r = random.Random(9)
     prose = ["\n".join(" ".join(sentence(r)[1] for _ in range(4)) for _ in range(3)) for _ in range(60)] + ["\n".join("".join(sentence(r)[0] for _ in range(4)) for _ in range(3)) for _ in range(60)]
     junk = ["\n".join(f"{i}. {r.choice(THINGS)[1]} ... {r.randrange(99)}" for i in range(9)) for _ in range(60)] + ["| a | b |\n|---|---|\n" + "\n".join(f"| {r.choice(THINGS)[0]} | {r.choice(THINGS)[1]} |" for _ in range(7)) for _ in range(60)]
-    model = quality.train(prose[::2] + junk[::2])
+    model = quality.train([sentence(r)[i % 2] for i in range(600)], made=4000)
     p = lambda ts: model.probability(np.array([quality.stats(t) for t in ts])) >= 0.5
-    assert p(prose[1::2]).mean() <= 0.03 and p(junk[1::2]).mean() >= 0.97
+    assert p(prose).mean() <= 0.03 and p(junk).mean() >= 0.97
     checked = p([t for t, _ in quality_holdout.CHECKED])
     assert np.mean(checked == np.array([not good for _, good in quality_holdout.CHECKED])) >= 0.9
     long, short = "\n".join(prose[1:9:2]), "\n".join(junk[1].splitlines()[:3])
     assert not p([long + "\n" + short])[0] and p([prose[1].splitlines()[0] + "\n" + "\n".join(junk[1:9:2])])[0]
 
 
+def test_labels_are_the_known_share_of_prose():
+    r = random.Random(10)
+    maker = quality.Maker([sentence(r)[i % 2] for i in range(200)], np.random.default_rng(1))
+    made = [maker.document() for _ in range(300)]
+    assert {share for _, share in made} >= {0.0, 1.0} and any(0 < share < 1 for _, share in made) and all(t for t, _ in made)
+    for kind in maker.kinds:
+        assert all(kind() for _ in range(30))
+
+
 def test_quality_of_hard_input(spark):
     rows = [(1, None), (2, ""), (3, " \n​ "), (4, "a" * 300_000), (5, "😀".encode("utf-16", "surrogatepass").decode("utf-16") * 10), (6, quality_holdout.PROSE[0]), (6, quality_holdout.PROSE[0])]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as n_chars", "2 as p_junk")
-    model = quality.trained(df, "doc_id", "text")
+    model = quality.trained(df.where("doc_id = 0 or doc_id = 2"), "text")  # nothing marked as prose
     got = {}
     for r in quality.statistics(df, "doc_id", "text", model).collect():
         got.setdefault(r["doc_id"], []).append(r)
     assert all(got[i][0]["p_junk"] >= 0.5 for i in (1, 2, 3, 4, 5)) and len(got[6]) == 2 and got[6][0]["p_junk"] < 0.5
     assert got[1][0]["n_words"] == 0 and got[4][0]["n_chars"] == 300_000
-    assert quality.statistics(df.limit(0), "doc_id", "text", quality.trained(df.limit(0), "doc_id", "text")).count() == 0
+    assert quality.statistics(df.limit(0), "doc_id", "text", quality.trained(df.limit(0), "text")).count() == 0
     assert quality.statistics(df, "doc_id", "text").columns == ["doc_id", *quality.STAT_NAMES]
 
 
+def test_words_are_bare_of_marks():
+    s = dict(zip(quality.STAT_NAMES, quality.stats("IT, (the) and “who”; he: Was!")))
+    assert s["n_words"] == 6 and s["common_words"] == 1.0
+    assert dict(zip(quality.STAT_NAMES, quality.stats("It ended." + ")" * 300)))["end_punct_lines"] == 1.0
+
+
 def test_tokens_of_whole_texts(spark):
     import os
 
