@@ -1,16 +1,21 @@
 """Problem 3: evaluation records that stand, exactly or nearly, in the training split.
 
 Records are canonicalised (compatibility form, case, punctuation, white space)
-and equal ones are put into one class by their canonical text, so that copies
-are compared once. Then hashes are joined, evaluation with training classes:
+and hashed to 128 bits; records of one hash are one class, so that copies are
+compared once and never paired with each other. Then hashes are joined,
+evaluation with training:
 
-* the hash of the whole canonical text finds the exact overlaps;
+* the hashes of whole canonical texts find the exact overlaps;
 * for near overlaps (the longest common subsequence holds at least `share` of
   the longer text) each class is filed under hashes of its rarest characters.
   Two texts with so many characters in common must share one of the
   n - ceil(share * n) + 1 rarest of either, so no pair is lost; a length band in
   the key and a bitmap of the characters drop nearly all others inside the
-  join, and what is left is checked exactly.
+  join, and what is left is checked exactly. A character of many classes has its
+  training side split by a salt, and the evaluation side sent to every piece.
+
+Results are pairs of classes with their numbers of records, and membership;
+rows are paired only where row pairs are asked for.
 
 Defined results: a null text, or a null split, is in no pair. A pair whose
 longer canonical text has fewer than `least` characters is none. Repeated rows
@@ -35,6 +40,8 @@ from hibiki.session import cut
 SHARE, LEAST = 0.85, 20
 #: Occurrences of one character beyond this one are counted together in the rarity order.
 OCCURRENCES = 4
+#: Classes of one character that one piece of a key holds, about.
+PIECE = 20_000
 #: Bitmap of the characters, in words of 64 bits.
 WORDS = 4
 
@@ -109,9 +116,10 @@ def _rarity(texts: DataFrame) -> dict[tuple[str, int], int]:
     return {(r["c"], r["k"]): r["n"] for r in counted.toLocalIterator()}
 
 
-def _filed(classes: DataFrame, rarity, share: float, least: int) -> DataFrame:
-    """key, band, own, cls, n, w0.. of every class: under each prefix token, in its own
-    length band (own) and, for evaluation classes, in the bands of possible partners."""
+def _filed(classes: DataFrame, rarity, share: float, least: int, train: bool) -> DataFrame:
+    """key, piece, band, cls, n, w0.. of every class: under each prefix token, in its own length
+    band and one piece of the key (training), or in all pieces, with low and high, the bands of
+    possible partners (evaluation)."""
     words = [f"w{i}" for i in range(WORDS)]
 
     def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -128,24 +136,27 @@ def _filed(classes: DataFrame, rarity, share: float, least: int) -> DataFrame:
                 w = [(bits >> 64 * i & (1 << 64) - 1) for i in range(WORDS)]
                 w = [x - (1 << 64) if x >> 63 else x for x in w]
                 lowest, highest = math.ceil(share * n - 1e-9), math.floor(n / share + 1e-9)
+                own, low, high = band(n, share), band(max(1, lowest), share), band(highest, share)
                 for c, k in prefix(s, ranks, share):
-                    out.append((ord(c) << 20 | min(k, (1 << 20) - 1), band(n, share), band(max(1, lowest), share), band(highest, share), cls, n, *w))
-            yield pd.DataFrame(out, columns=["key", "band", "low", "high", "cls", "n", *words]).astype("int64")
+                    pieces = 1 + ranks.get((c, min(k, OCCURRENCES)), 0) // PIECE
+                    for piece in [cls % pieces] if train else range(pieces):
+                        out.append((ord(c) << 20 | min(k, (1 << 20) - 1), piece, own, low, high, cls, n, *w))
+            yield pd.DataFrame(out, columns=["key", "piece", "band", "low", "high", "cls", "n", *words]).astype("int64")
 
-    return classes.select("cls", "canon").mapInPandas(file, "key long, band long, low long, high long, cls long, n long, " + ", ".join(f"{w} long" for w in words))
+    return classes.select("cls", "canon").mapInPandas(file, "key long, piece long, band long, low long, high long, cls long, n long, " + ", ".join(f"{w} long" for w in words))
 
 
 def _near(classes: DataFrame, share: float, least: int) -> DataFrame:
     """e, t: evaluation and training classes with different, nearly equal texts."""
     rarity = classes.sparkSession.sparkContext.broadcast(_rarity(classes))
     words = [f"w{i}" for i in range(WORDS)]
-    train = _filed(classes.where("n_train > 0"), rarity, share, least).select("key", "band", F.col("cls").alias("t"), F.col("n").alias("m"), *[F.col(w).alias(f"t{w}") for w in words])
-    evals = _filed(classes.where("n_eval > 0"), rarity, share, least)
-    evals = evals.select("key", F.explode(F.sequence("low", "high")).alias("band"), F.col("cls").alias("e"), "n", *words)
+    train = _filed(classes.where("n_train > 0"), rarity, share, least, True).select("key", "piece", "band", F.col("cls").alias("t"), F.col("n").alias("m"), *[F.col(w).alias(f"t{w}") for w in words])
+    evals = _filed(classes.where("n_eval > 0"), rarity, share, least, False)
+    evals = evals.select("key", "piece", F.explode(F.sequence("low", "high")).alias("band"), F.col("cls").alias("e"), "n", *words)
     longer, apart = F.greatest("n", "m"), sum((F.bit_count(F.col(w).bitwiseXOR(F.col(f"t{w}"))) for w in words), F.lit(0))
     need = F.ceil(longer * share - 1e-9)
     pairs = (
-        evals.join(train, ["key", "band"])
+        evals.join(train, ["key", "piece", "band"])
         .where((F.col("e") != F.col("t")) & (longer >= least) & (F.least("n", "m") >= need) & (apart <= F.col("n") + F.col("m") - 2 * need))
         .select("e", "t")
         .distinct()
@@ -161,8 +172,9 @@ def _near(classes: DataFrame, share: float, least: int) -> DataFrame:
     return pairs.select("e", "t", "a", "b").mapInPandas(verify, "e long, t long")
 
 
-def overlaps(records: DataFrame, row_id: str, split: str, text: str, train: str = "train", share: float = SHARE, least: int = LEAST) -> DataFrame:
-    """eval_id, train_id, exact: all pairs of an evaluation and a training record that are alike.
+def class_overlaps(records: DataFrame, row_id: str, split: str, text: str, train: str = "train", share: float = SHARE, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
+    """(e, t, exact, n_eval, n_train): pairs of an evaluation and a training class that are alike, with their
+    numbers of records, and (id, held, e): the class of every record. Classes are named by their smallest id.
 
     records: row_id bigint, split (`train` or the name of an evaluation split), text.
     """
@@ -170,17 +182,30 @@ def overlaps(records: DataFrame, row_id: str, split: str, text: str, train: str
         records.where(F.col(split).isNotNull() & F.col(text).isNotNull())
         .select(F.col(row_id).alias("id"), (F.col(split) != train).alias("held"), canonical(text).alias("canon"))
         .where(F.length("canon") > 0)
+        .select("id", "held", "canon", F.xxhash64("canon").alias("h1"), F.xxhash64(F.lit(1), "canon").alias("h2"))
         .distinct()
     )
-    classes = cut(rows.groupBy("canon").agg(F.min("id").alias("cls"), F.count_if("held").alias("n_eval"), F.count_if(~F.col("held")).alias("n_train")))
-    exact = classes.where((F.col("n_eval") > 0) & (F.col("n_train") > 0) & (F.length("canon") >= least)).select(F.col("cls").alias("e"), F.col("cls").alias("t"))
+    named = rows.groupBy("h1", "h2").agg(F.min("id").alias("cls"), F.count_if("held").alias("n_eval"), F.count_if(~F.col("held")).alias("n_train"), F.min("canon").alias("canon"))
+    classes = cut(named)
+    # whole texts: evaluation hashes with training hashes
+    evals = classes.where((F.col("n_eval") > 0) & (F.length("canon") >= least)).select("h1", "h2", F.col("cls").alias("e"))
+    trains = classes.where("n_train > 0").select("h1", "h2", F.col("cls").alias("t"))
+    exact = evals.join(trains, ["h1", "h2"]).select("e", "t", F.lit(True).alias("exact"))
+    pairs = cut(exact.unionByName(_near(classes, share, least).withColumn("exact", F.lit(False))))
+    sized = pairs.join(classes.select(F.col("cls").alias("e"), "n_eval"), "e").join(classes.select(F.col("cls").alias("t"), "n_train"), "t")
+    member = rows.join(classes.select("h1", "h2", "cls"), ["h1", "h2"]).select("id", "held", "cls")
+    return sized.select("e", "t", "exact", "n_eval", "n_train"), member
+
+
+def overlaps(records: DataFrame, row_id: str, split: str, text: str, train: str = "train", share: float = SHARE, least: int = LEAST) -> DataFrame:
+    """eval_id, train_id, exact: all pairs of an evaluation and a training record that are alike."""
+    pairs, member = class_overlaps(records, row_id, split, text, train, share, least)
     # only classes of a pair are led back to their rows
-    pairs = cut(exact.unionByName(_near(classes, share, least)))
-    member = rows.join(classes.select("canon", "cls"), "canon").select("id", "held", "cls")
     return (
-        pairs.join(member.where("held").select(F.col("id").alias("eval_id"), F.col("cls").alias("e")), "e")
+        pairs.select("e", "t", "exact")
+        .join(member.where("held").select(F.col("id").alias("eval_id"), F.col("cls").alias("e")), "e")
         .join(member.where(~F.col("held")).select(F.col("id").alias("train_id"), F.col("cls").alias("t")), "t")
-        .select("eval_id", "train_id", (F.col("e") == F.col("t")).alias("exact"))
+        .select("eval_id", "train_id", "exact")
     )
 
 

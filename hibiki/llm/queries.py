@@ -57,11 +57,30 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select(F.least("eval_id", "train_id").alias("id_a"), F.greatest("eval_id", "train_id").alias("id_b")).distinct()
 
 
+@query
+def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of classes of equal canonical texts, with their numbers of records."""
+    pairs, _ = overlap.class_overlaps(_split_records(spark, sf_dir), "pr_id", "split", "jp_text")
+    return pairs.select(F.col("e").alias("eval_class"), F.col("t").alias("train_class"), "exact", F.col("n_eval").alias("eval_records"), F.col("n_train").alias("train_records"))
+
+
+@query
+def p3_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record with a split and text: its class, and how many training records its class is linked to."""
+    pairs, member = overlap.class_overlaps(_split_records(spark, sf_dir), "pr_id", "split", "jp_text")
+    links = pairs.groupBy("e").agg(F.sum("n_train").alias("links"))
+    return member.join(links.withColumnRenamed("e", "cls"), "cls", "left").select(
+        F.col("id").alias("pr_id"), "held", F.col("cls").alias("class_id"), F.when(F.col("held"), F.coalesce("links", F.lit(0))).otherwise(0).alias("links")
+    )
+
+
 @query
 def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per split and part: its records, those that stand in the training split too, and the pairs."""
+    """Per split and part: its records, those that stand in the training split too, and the pairs, counted by class."""
     records = _split_records(spark, sf_dir)
-    hits = overlap.overlaps(records, "pr_id", "split", "jp_text").groupBy("eval_id").agg(F.count("*").alias("pairs"), F.count_if("exact").alias("exact_pairs"))
+    pairs, member = overlap.class_overlaps(records, "pr_id", "split", "jp_text")
+    by_class = pairs.groupBy("e").agg(F.sum("n_train").alias("pairs"), F.sum(F.when(F.col("exact"), F.col("n_train")).otherwise(0)).alias("exact_pairs"))
+    hits = member.where("held").join(by_class, F.col("cls") == F.col("e")).select(F.col("id").alias("eval_id"), "pairs", "exact_pairs")
     held = records.where(F.col("split").isNotNull() & (F.col("split") != "train")).select("pr_id", "split", "part_id")
     return (
         held.join(hits, F.col("pr_id") == F.col("eval_id"), "left")

@@ -72,6 +72,18 @@ def test_overlaps_equal_brute_force(spark):
     assert len(want) > 100 and got == want
 
 
+def test_split_keys_and_classes_lose_no_pair(spark, monkeypatch):
+    rows = records(5)
+    df = spark.createDataFrame(rows, "pr_id long, split string, jp_text string")
+    whole = {tuple(r) for r in overlap.overlaps(df, "pr_id", "split", "jp_text").collect()}
+    monkeypatch.setattr(overlap, "PIECE", 7)
+    assert {tuple(r) for r in overlap.overlaps(df, "pr_id", "split", "jp_text").collect()} == whole
+    pairs, member = overlap.class_overlaps(df, "pr_id", "split", "jp_text")
+    of = {(r["id"], r["held"]): r["cls"] for r in member.collect()}
+    got = {(r["e"], r["t"]): (r["exact"], r["n_eval"], r["n_train"]) for r in pairs.collect()}
+    assert set(got) == {(of[a, True], of[b, False]) for a, b, _ in whole} and sum(a * b for _, a, b in got.values()) == len(whole)
+
+
 def test_overlaps_of_hard_input(spark):
     long = "あいうえおかきくけこ" * 400
     rows = [(1, "train", long), (2, "dev", long[:-5] + "ん"), (3, "dev", ""), (4, "train", "。。"), (5, "dev", None), (6, None, long), (7, "test", "短い"), (8, "train", "短い")]
