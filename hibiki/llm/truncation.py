@@ -32,40 +32,59 @@ CUT_BACK = 0.9
 #: Prose shorter than this is a remark, not a cut text.
 MIN_PROSE = 25
 
+# Stand-ins of escapes, by the bytes of what they stand for; an escaped quote may close a sentence.
+QUOTE = "\x02"
+ESCAPES = [
+    (r'\\"', QUOTE), (r"\\[^u]", "\x01"), (r"\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD][c-fC-F][0-9a-fA-F]{2}", "\U000f0000"),
+    (r"\\u00[0-7][0-9a-fA-F]", "\x01"), (r"\\u0[0-7][0-9a-fA-F]{2}", "\x80"), (r"\\u[0-9a-fA-F]{4}", "\ue000"),
+]
+
 SPACE = r"[\s\p{Z}\x{FEFF}]"
-CLOSERS = r"[\"”’')\]」』）]*"
-END = rf"(?:[.!?。！？؟।]|…{{2}}){CLOSERS}$"
-MARKER = r"(?:(?<!…)…|(?<!\.)\.{3}|\[(?:truncated|cut off|continued|\.\.\.|…)\]|\x{FFFD})$"
+CLOSERS = "\"”’')]」』）" + QUOTE
+# What ends a sentence, and what says that a text goes on.
+ENDS = (".", "!", "?", "。", "！", "？", "؟", "।")
+GOES_ON = ("[truncated]", "[cut off]", "[continued]", "[...]", "[…]", "\ufffd")
+
+
+def _ends(c: Column) -> tuple[Column, Column]:
+    """(ended, marked): the text ends like a sentence; it ends with a mark that says that it was cut. Any number of closers may follow."""
+    core = F.rtrim(c, F.lit(CLOSERS))
+    cut_mark = (c.endswith("…") & ~c.endswith("……")) | (c.endswith("...") & ~c.endswith("...."))
+    for m in GOES_ON:
+        cut_mark = cut_mark | c.endswith(m)
+    done = core.endswith("……")
+    for m in ENDS:
+        done = done | core.endswith(m)
+    return done & ~cut_mark, cut_mark
 
 
 def _prepared(text: Column) -> dict[str, Column]:
     """The columns a judgement needs; each is one pass over the text."""
     tail = F.regexp_replace(text, rf"{SPACE}++$", "")
-    # an escape pair becomes one private-use character, so that a quote is a quote
-    plain = F.regexp_replace(F.regexp_replace(tail, r"\\u[0-9a-fA-F]{4}", "\ue000"), r"\\[\s\S]", "\ue001")
-    return {"_tail": tail, "_plain": plain}
+    # an escape becomes one character of the size of what it stands for, so that a quote is a quote and bytes are bytes
+    plain = tail
+    for escape, stand_in in ESCAPES:
+        plain = F.regexp_replace(plain, escape, stand_in)
+    # texts without escapes need no pass
+    return {"_tail": tail, "_plain": F.when(F.contains(tail, F.lit("\\")), plain).otherwise(tail)}
 
 
 def _count(c: Column, chars: str) -> Column:
     return F.length(c) - F.length(F.translate(c, chars, ""))
 
 
-def _near_end(n: int) -> Column:
-    """The last n characters: what decides how a text ends needs no more."""
-    return F.right(F.col("_tail"), F.lit(n))
-
-
 def with_shape(df: DataFrame, text: str) -> DataFrame:
     """Adds _tail, _plain, _json, _cut_end (the text stops before its end) and _complete."""
     df = once(df, _prepared(F.col(text)))
+    ended, marked = _ends(F.col("_tail"))
     df = once(
         df,
         {
             "_json": F.col("_tail").rlike(rf"^{SPACE}*+(?:```[A-Za-z]*+{SPACE}*+)?[\{{\[]"),
             "_bare": F.regexp_replace("_plain", r'"[^"]*+"', "S"),
-            "_marked": _near_end(80).rlike(MARKER),
-            "_ended": _near_end(80).rlike(END) & ~_near_end(80).rlike(MARKER),
-            "_closes": _near_end(80).rlike(r"(?:[\]}]\s*[\]}]|\{\s*\}|```)\s*(?:```)?$"),
+            "_marked": marked,
+            "_ended": ended,
+            "_closes": F.regexp_replace(F.rtrim(F.col("_tail"), F.lit("` \t\r\n")), r"\s+([\]}])$", "$1").rlike(r"(?:[\]}][\]}]|\{\})$") | F.col("_tail").endswith("```"),
         },
     )
     df = once(df, {"_open_string": F.col("_bare").contains('"'), "_bare": F.regexp_replace("_bare", r'"[^"]*+$', "")})
@@ -106,8 +125,8 @@ def measured(shaped: DataFrame) -> DataFrame:
     whole = F.array(F.struct(F.lit("").alias("f"), F.col("_text").alias("v"))).cast(item)
     items = F.when(F.col("_json"), F.concat(whole, pairs)).otherwise(whole)
     out = shaped.where(F.col("_tail") != "").select("_id", "_src", "_complete", "_cut_end", F.posexplode(items).alias("k", "p"))
-    out = once(out, {"_end": F.when(F.col("k") > 0, F.regexp_replace(F.right("p.v", F.lit(80)), rf"{SPACE}++$", ""))})
-    inside = F.col("_end").rlike(END) & ~F.col("_end").rlike(MARKER)
+    out = once(out, {"_end": F.when(F.col("k") > 0, F.regexp_replace("p.v", rf"{SPACE}++$", ""))})
+    inside, _ = _ends(F.col("_end"))
     return out.select(
         "_id", "_src", F.when(F.col("k") == 0, "").otherwise(F.concat(F.lit("."), "p.f")).alias("field"), F.length("p.v").alias("chars"), F.octet_length("p.v").alias("bytes"),
         F.xxhash64("p.v").alias("h"), F.when(F.col("k") == 0, F.col("_complete")).otherwise(inside).alias("complete"), ((F.col("k") == 0) & F.col("_cut_end")).alias("cut_end"),
@@ -160,12 +179,17 @@ def truncated(df: DataFrame, row_id: str, source: str, text: str) -> DataFrame:
 
 
 def truncation_report(df: DataFrame, row_id: str, source: str, text: str, kind: Column) -> DataFrame:
-    """source, kind, answers, cut, cut_share: how often each source truncates each kind."""
-    found = truncated(df, row_id, source, text).select(F.col(row_id).alias("_cut_id")).distinct()
+    """model, kind, answers, cut, cut_share: how often each source truncates each kind; and how many of the cut
+    answers each way found: by the end of the text, at a limit of whole answers, at a limit of values inside."""
+    by = [F.max(F.col("reason") == r).alias(n) for n, r in (("_end", "end"), ("_limit", "limit"), ("_value", "value limit"))]
+    found = truncated(df, row_id, source, text).groupBy(F.col(row_id).alias("_cut_id")).agg(*by)
     base = df.select(F.col(row_id).alias("_id"), F.col(source).alias("model"), kind.alias("kind"))
     return (
         base.join(found, F.col("_id") == F.col("_cut_id"), "left")
         .groupBy("model", "kind")
-        .agg(F.count("*").alias("answers"), F.count("_cut_id").alias("cut"))
+        .agg(
+            F.count("*").alias("answers"), F.count("_cut_id").alias("cut"), F.count_if("_end").alias("by_end"), F.count_if("_limit").alias("by_limit"), F.count_if("_value").alias("by_value_limit"),
+            F.count_if(F.col("_end") & ~F.col("_limit") & ~F.col("_value")).alias("by_end_only"),
+        )
         .withColumn("cut_share", F.round(F.col("cut") / F.col("answers"), 6))
-    )
+    )
