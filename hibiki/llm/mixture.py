@@ -6,11 +6,14 @@ The blocks of all shards are apportioned in one sequence, so that each shard
 gets integer quotas and the quotas of all shards together keep the shares.
 
 Records are spread by a seeded hash over shards of bounded size and put into a
-seeded order in each (shard, source). A quota is filled in this order; where it
-exceeds what the shard has, whole rounds over all its records come first. How
-often a record is used is at most max_repeats, because the drawn total is what
-the scarcest source allows; a shard with too little hands its rest to the
-others (second pass), so no source falls short by chance of the hash.
+seeded order in each (shard, source); there they stand in blocks of `block`
+tokens, each in the block that its middle falls into. Blocks are selected in a
+seeded order as long as the quota's tokens last; where a quota exceeds what the
+shard has, whole rounds over all its records come first. How often a
+record is used is at most max_repeats, because the drawn total is what the
+scarcest source allows; whole blocks that a shard lacks are taken, shard by
+shard in a seeded order, from the spare ones of the source's other shards, so no
+source falls short by chance of the hash.
 
 Defined results: sources that have no target, or no tokens, get nothing; the
 target shares of the others are brought to a sum of 1 and both shares are
@@ -28,17 +31,6 @@ from pyspark.sql import functions as F
 BLOCK_TOKENS, SHARD_TOKENS, SEED = 4096, 4_000_000, 17
 
 
-def quotas(shares: dict[str, float], blocks: int) -> list[str]:
-    """The source of each block in turn, by highest quotients; ties by name."""
-    given = dict.fromkeys(sorted(s for s in shares if shares[s] > 0), 0)
-    out = []
-    for _ in range(blocks if given else 0):
-        best = max(given, key=lambda s: shares[s] / (2 * given[s] + 1))
-        given[best] += 1
-        out.append(best)
-    return out
-
-
 def apportion(shares: dict[str, float], blocks: int, shards: int, shard: int) -> dict[str, int]:
     """Blocks of each source in one shard: a run of the sequence, all runs nearly equal in length.
 
@@ -51,12 +43,24 @@ def apportion(shares: dict[str, float], blocks: int, shards: int, shard: int) ->
 
 def count_upto(shares: dict[str, float], blocks: int) -> dict[str, int]:
     """Sainte-Lague counts of the first `blocks` blocks, in time independent of their number."""
-    given = {s: max(0, int(shares[s] * blocks - 1)) if shares[s] > 0 else 0 for s in sorted(shares)}
+    names = sorted(s for s in shares if shares[s] > 0)
+    given = dict.fromkeys(sorted(shares), 0)
+    if not names:
+        return given
+    # a count differs from its share of the blocks by less than the number of sources: start there, then give and take
+    given |= {s: max(0, int(shares[s] * blocks)) for s in names}
+    while True:  # no block may have a higher quotient than one that was given
+        least = min((s for s in given if given[s]), key=lambda s: (shares[s] / (2 * given[s] - 1), [-ord(c) for c in s]), default=None)
+        best = max(names, key=lambda s: shares[s] / (2 * given[s] + 1))
+        if least is None or best == least or shares[least] / (2 * given[least] - 1) >= shares[best] / (2 * given[best] + 1):
+            break
+        given[least] -= 1
+        given[best] += 1
     while sum(given.values()) > blocks:
-        least = min((s for s in given if given[s]), key=lambda s: (shares[s] / (2 * given[s] - 1), s))
+        least = min((s for s in given if given[s]), key=lambda s: (shares[s] / (2 * given[s] - 1), [-ord(c) for c in s]))
         given[least] -= 1
     while sum(given.values()) < blocks:
-        best = max((s for s in given if shares[s] > 0), key=lambda s: (shares[s] / (2 * given[s] + 1)))
+        best = max(names, key=lambda s: shares[s] / (2 * given[s] + 1))
         given[best] += 1
     return given
 
@@ -82,35 +86,32 @@ def drawn(docs: DataFrame, targets: DataFrame, row_id: str, source: str, tokens:
 
     def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(k, s, n * block, most[s]) for k in pdf["id"] for s, n in apportion(shares, blocks, shards, k).items()]
+            rows = [(k, s, n, most[s]) for k in pdf["id"] for s, n in apportion(shares, blocks, shards, k).items()]
             yield pd.DataFrame(rows, columns=["shard", "source", "quota", "most"]).astype({"shard": "int32", "quota": "int64", "most": "int32"})
 
     quota = spark.range(shards).mapInPandas(plan, "shard int, source string, quota long, most int")
     spread = rows.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(shards)).cast("int")).withColumn("order", F.xxhash64(F.lit(seed + 1), "id"))
-    turn = Window.partitionBy("shard", "source").orderBy("order", "id")
-    # the quotas are a row a shard and source; the optimizer sees their size
-    placed = (
-        spread.withColumn("upto", F.sum("n").over(turn.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("all", F.sum("n").over(Window.partitionBy("shard", "source")))
-        .join(quota, ["shard", "source"])
-    )
-    # what a shard can't give is asked of the source's other shards, in proportion to their spare
-    by_shard = placed.groupBy("shard", "source").agg(F.first("all").alias("all"), F.first("quota").alias("quota"), F.first("most").alias("most"))
-    by_shard = by_shard.join(quota.select("source", F.col("quota").alias("q"), F.col("shard").alias("s")).groupBy("source").agg(F.sum("q").alias("asked")), "source")
-    room = F.col("all") * F.col("most")
-    given = F.least("quota", room)
-    w = Window.partitionBy("source")
-    short = F.col("asked") - F.sum(given).over(w)
-    spare = F.sum(room - given).over(w)
-    final = by_shard.withColumn("final", given + F.when(spare > 0, F.least(short / spare, F.lit(1.0)) * (room - given)).otherwise(0)).select("shard", "source", "final")
-    placed = placed.join(final, ["shard", "source"])
-    rounds = F.least(F.floor(F.col("final") / F.col("all")), F.col("most"))
-    left = F.col("final") - rounds * F.col("all")
-    # a record is in when its middle lies within what is left
-    extra = F.when((rounds < F.col("most")) & (F.col("upto") - F.col("n") / 2 <= left), 1).otherwise(0)
-    return (
-        placed.select("id", "source", "n", (rounds + extra).cast("int").alias("uses")).where("uses > 0").withColumnsRenamed({"id": row_id, "n": "tokens"})
-    )
+    turn = Window.partitionBy("shard", "source").orderBy("order", "id").rowsBetween(Window.unboundedPreceding, 0)
+    # the block that a record's middle falls into
+    placed = spread.select("id", "source", "n", "shard", F.floor((F.sum("n").over(turn) - F.col("n") / 2) / block).alias("block"))
+    sizes = placed.groupBy("shard", "source", "block").agg(F.sum("n").alias("size"))
+    filled = sizes.groupBy("shard", "source").agg(F.sum("size").alias("all"))
+    by_shard = quota.join(filled, ["shard", "source"], "left").withColumn("all", F.coalesce("all", F.lit(0)))
+    # blocks that a shard lacks come from the source's other shards, as many as each can spare, in a seeded order
+    room = F.floor(F.col("all") * F.col("most") / block)
+    of = Window.partitionBy("source")
+    others = of.orderBy(F.xxhash64(F.lit(seed + 2), "shard"), "shard").rowsBetween(Window.unboundedPreceding, -1)
+    by_shard = by_shard.withColumn("given", F.least("quota", room)).withColumn("spare", room - F.col("given"))
+    short = F.sum(F.col("quota") - F.col("given")).over(of) - F.coalesce(F.sum("spare").over(others), F.lit(0))
+    # a quota is a row a shard and source; the optimizer sees its size
+    final = by_shard.withColumn("wanted", (F.col("given") + F.greatest(F.lit(0), F.least(F.col("spare"), short))) * block).where("all > 0")
+    final = final.withColumn("rounds", F.floor(F.col("wanted") / F.col("all"))).select("shard", "source", "most", "rounds", (F.col("wanted") - F.col("rounds") * F.col("all")).alias("left"))
+    # seeded selection of blocks: one is in when its middle lies within what is left
+    chosen = Window.partitionBy("shard", "source").orderBy(F.xxhash64(F.lit(seed + 3), "shard", "source", "block"), "block").rowsBetween(Window.unboundedPreceding, 0)
+    picked = sizes.withColumn("upto", F.sum("size").over(chosen)).join(final, ["shard", "source"])
+    extra = F.when((F.col("rounds") < F.col("most")) & (F.col("upto") - F.col("size") / 2 <= F.col("left")), 1).otherwise(0)
+    picked = picked.select("shard", "source", "block", (F.col("rounds") + extra).cast("int").alias("uses")).where("uses > 0")
+    return placed.join(picked, ["shard", "source", "block"]).select("id", "source", "n", "uses").withColumnsRenamed({"id": row_id, "n": "tokens"})
 
 
 def shares_report(draws: DataFrame, targets: DataFrame) -> DataFrame:  # draws: written already

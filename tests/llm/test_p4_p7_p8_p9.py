@@ -137,13 +137,27 @@ def test_packing_is_whole_and_tight(spark):
     assert packing.packed(df, spec.limit(0), "doc_id", "tokens").count() == 0
 
 
+def turns(shares, blocks):
+    """The definition: each block goes to the source of the highest quotient, ties by name."""
+    given = dict.fromkeys(sorted(s for s in shares if shares[s] > 0), 0)
+    out = []
+    for _ in range(blocks):
+        best = max(given, key=lambda s: shares[s] / (2 * given[s] + 1))
+        given[best] += 1
+        out.append(best)
+    return out
+
+
 def test_sainte_lague_prefixes():
-    shares = {"a": 0.5, "b": 0.31, "c": 0.19}
-    for n in range(60):
-        seq = mixture.quotas(shares, n)
-        assert mixture.count_upto(shares, n) == {s: seq.count(s) for s in shares}
-    per = [mixture.apportion(shares, 100, 7, k) for k in range(7)]
-    assert {s: sum(p[s] for p in per) for s in shares} == mixture.count_upto(shares, 100)
+    r = random.Random(11)
+    many = {f"s{i}": r.random() ** 3 for i in range(40)}
+    for shares in ({"a": 0.5, "b": 0.31, "c": 0.19}, {"a": 0.5, "b": 0.5}, {s: v / sum(many.values()) for s, v in many.items()}):
+        for n in [*range(60), 500, 1999]:
+            seq = turns(shares, n)
+            assert mixture.count_upto(shares, n) == {s: seq.count(s) for s in shares}
+        per = [mixture.apportion(shares, 100, 7, k) for k in range(7)]
+        assert {s: sum(p[s] for p in per) for s in shares} == mixture.count_upto(shares, 100)
+    assert mixture.count_upto({}, 3) == {} and mixture.count_upto({"a": 0.0}, 3) == {"a": 0}
 
 
 def test_mixing_meets_targets_and_caps(spark):
