@@ -23,6 +23,39 @@ def test_hungarian_equals_brute_force():
         assert len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}) and all(w[a, b] > 0 for a, b in pairs)
 
 
+def test_spans_and_assignment_equal_brute_force(monkeypatch):
+    r = np.random.default_rng(2)
+
+    def brute(gain, spans):
+        units = [(gain[i, k], (i,), (k,)) for i in range(gain.shape[0]) for k in range(gain.shape[1]) if gain[i, k] > 0]
+
+        def most(at, used_j, used_e):
+            if at == len(units) + len(spans):
+                return 0.0
+            g, a, b = (units + spans)[at]
+            out = most(at + 1, used_j, used_e)
+            if used_j.isdisjoint(a) and used_e.isdisjoint(b):
+                out = max(out, g + most(at + 1, used_j | set(a), used_e | set(b)))
+            return out
+
+        return most(0, frozenset(), frozenset())
+
+    for small in (8, 0):
+        monkeypatch.setattr(alignment, "SMALL", small)
+        lost = 0
+        for _ in range(60):
+            gain = np.where(r.random((4, 4)) < 0.5, r.random((4, 4)), 0)
+            spans = [(float(r.random() * 1.5), (i, i + 1), (int(r.integers(4)),)) for i in range(3)] + [(float(r.random() * 1.5), (int(r.integers(4)),), (1, 2))]
+            got = alignment.assigned(gain, spans)
+            assert len({i for a, _ in got for i in a}) == sum(len(a) for a, _ in got) and len({k for _, b in got for k in b}) == sum(len(b) for _, b in got)
+            value = {(a, b): g for g, a, b in sorted(spans)}
+            total = sum(value[a, b] if len(a) + len(b) > 2 else gain[a[0], b[0]] for a, b in got)
+            best = brute(gain, spans)
+            assert total <= best + 1e-9
+            lost += total < best - 1e-9
+        assert lost == 0 if small else lost <= 12
+
+
 NAMES = [("梶", "Kaji"), ("瀬名", "Sena"), ("若狭", "Wakasa"), ("入江", "Irie"), ("望月", "Mochizuki")]
 THINGS = [("鍵", "key"), ("傘", "umbrella"), ("机", "desk"), ("手紙", "letter"), ("時計", "clock"), ("帽子", "hat"), ("絵", "painting"), ("鏡", "mirror")]
 DEEDS = [("買った", "bought"), ("捨てた", "discarded"), ("隠した", "hid"), ("探した", "sought")]
