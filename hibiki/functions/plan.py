@@ -16,3 +16,12 @@ def once(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
     keep = [c for c in df.columns if c not in exprs]
     made = F.explode(F.array(F.struct(*[e.alias(n) for n, e in exprs.items()]))).alias("_once")
     return df.select(*keep, made).select(*keep, *[F.col("_once").getField(n).alias(n) for n in exprs])
+
+
+def guarded(df: DataFrame, facts: DataFrame, ok: Column, message: str) -> DataFrame:
+    """df, whose reading fails with `message` where `ok` doesn't hold on the one row of facts.
+
+    The check is a branch of its own without rows, so that no optimizer drops it with an unused column.
+    """
+    fails = F.when(F.coalesce(ok, F.lit(False)), F.lit(False)).otherwise(F.raise_error(F.lit(message)).cast("boolean"))
+    return df.unionByName(facts.where(fails).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema]))

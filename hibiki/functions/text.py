@@ -77,6 +77,15 @@ def dialogue_blocks_target(x: Column | str) -> Column:
     return F.when(corner > 0, corner).when(curly, paired(c, "“", "”")).otherwise(F.floor(count_of(c, '"') / 2))
 
 
+#: Openers of dialogue by side.
+OPENERS = {"jp": ("「", "『"), "en": ("「", "『", "“", '"')}
+
+
+def side_kind(x: Column | str, side: Column | str) -> Column:
+    """paragraph_kind() by the rule of the paragraph's side; in the source a straight or curly quote opens no dialogue."""
+    return F.when(_c(side) == "jp", paragraph_kind(x, OPENERS["jp"])).otherwise(paragraph_kind(x, OPENERS["en"]))
+
+
 def paragraph_kind(x: Column | str, openers: tuple[str, ...] = ("「", "『", "“", '"')) -> Column:
     """blank, dialogue (starts with an opener behind the indent) or narration."""
     t = trimmed(x)
@@ -85,10 +94,11 @@ def paragraph_kind(x: Column | str, openers: tuple[str, ...] = ("「", "『", "
 
 
 def safe_name(url: Column | str, longest: int = 180, kept: int = 170) -> Column:
-    """A file name for a URL; long ones are cut and told apart by ten digits of their hash."""
+    """A file name for a URL without its scheme; long ones are cut and told apart by ten digits of their hash."""
     c = _c(url)
-    clean = F.regexp_replace(c, r"[^A-Za-z0-9._-]+", "_")
-    return F.when(F.length(clean) > longest, F.concat(F.left(clean, F.lit(kept)), F.lit("_"), F.left(F.sha1(c.cast("binary")), F.lit(10)))).otherwise(clean)
+    clean = F.regexp_replace(F.regexp_replace(c, "^https?://", ""), r"[^A-Za-z0-9._-]", "_")
+    short = F.when(F.length(clean) > longest, F.concat(F.left(clean, F.lit(kept)), F.lit("_"), F.left(F.sha1(c.cast("binary")), F.lit(10)))).otherwise(clean)
+    return F.concat(short, F.lit(".html"))
 
 
 # English number words.
@@ -115,10 +125,11 @@ def part_id_of(x: Column | str) -> Column:
 def substituted(template: Column | str, values: dict[str, Column]) -> Column:
     """$name placeholders replaced in one pass; unknown ones stay as they are.
 
-    The template is cut at its placeholders and each piece replaced on its own,
-    so a value that holds a placeholder isn't replaced again.
+    The template is cut before each $ and behind each word, so that a placeholder
+    of any length is a piece of its own, and each piece is replaced by itself: a
+    value that holds a placeholder isn't replaced again.
     """
-    pieces = F.split(_c(template), r"(?=\$[A-Za-z_])|(?<=\$[A-Za-z_]\w{0,100})(?=\W)")
+    pieces = F.split(_c(template), r"(?=\$[A-Za-z_])|(?<=\w)(?=\W)")
     table = F.create_map(*[v for k, c in values.items() for v in (F.lit("$" + k), c.cast("string"))])
     return F.array_join(F.transform(pieces, lambda p: F.coalesce(F.try_element_at(table, p), p)), "")
 

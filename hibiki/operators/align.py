@@ -17,14 +17,17 @@ SHAPES = [(1, 1, 0.92), (1, 2, 0.04), (2, 1, 0.03), (1, 0, 0.005), (0, 1, 0.005)
 
 
 def length_z(jp: float, en: float, ratio: float = RATIO, variance: float = VARIANCE) -> float:
-    """Standard score of the target length given the source length."""
-    if jp <= 0 and en <= 0:
+    """Standard score of the target length given the source length; 0 where either is empty, for the prior alone counts then."""
+    if jp <= 0 or en <= 0:
         return 0.0
-    return (en - ratio * jp) / math.sqrt(variance * max(jp, 1.0))
+    return (en - ratio * jp) / math.sqrt(variance * jp)
 
 
 def length_score(jp: float, en: float) -> float:
-    return math.exp(-(length_z(jp, en) ** 2) / 2) if jp > 0 and en > 0 else 0.0
+    """How well the lengths fit, from 0 to 1; two empty sides fit, one doesn't."""
+    if jp <= 0 or en <= 0:
+        return 1.0 if jp <= 0 and en <= 0 else 0.0
+    return math.exp(-(length_z(jp, en) ** 2) / 2)
 
 
 #: best_path keeps the scores of about so many diagonals, at least LEAST_APART from each other.
@@ -106,7 +109,7 @@ def best_path(jp: list[int], en: list[int]) -> list[tuple[int, int, int, int]]:
 def aligned(paras: DataFrame) -> DataFrame:
     """part_id, shape, jp_from, jp_to, en_from, en_to, length_score: the steps of every part, each part one path."""
     rows = paras.where("part_id is not null and side in ('jp', 'en')").where(T.paragraph_kind("text") != "blank")
-    rows = rows.select("part_id", "side", "para_index", "para_id", T.visible_chars("text").alias("n"))
+    rows = rows.select("part_id", "side", "para_index", "para_id", F.length(T.trimmed("text")).alias("n"))
     both = rows.groupBy("part_id").agg(F.count_if(F.col("side") == "jp").alias("nj"), F.count_if(F.col("side") == "en").alias("ne")).where("nj > 0 and ne > 0")
     rows = rows.join(both, "part_id", "left_semi")
 

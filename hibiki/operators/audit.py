@@ -55,6 +55,28 @@ def inversions(df: DataFrame, group: list[str], order: list[str], position: str)
     return df.where(F.col(position).isNotNull()).withColumn("_back", back).groupBy(*group).agg(F.count("*").alias("n"), F.count_if("_back").alias("inversions"))
 
 
+def spans_in_sources(phrases: DataFrame, paras: DataFrame) -> DataFrame:
+    """ph_id, part_id, at, jp_ok, en_ok, source_chars: where a phrase's source span stands in its part (from 1; 0: nowhere), and whether both spans do.
+
+    White space and case count for nothing; spans may run over paragraphs, so a part's side, which is one chapter, is put
+    together. An empty span stands everywhere, a null one nowhere. phrases: ph_id, part_id, jp_span, en_span.
+    """
+    key = paras.where("part_id is not null and text is not null").select("part_id", "side", "para_index", "para_id", T.verbatim_key("text").alias("_k")).where("_k <> ''")
+    src = key.groupBy("part_id", "side").agg(F.expr("listagg(_k, '') WITHIN GROUP (ORDER BY para_index, para_id)").alias("_key"))
+    j = phrases.join(src.where("side = 'jp'").select("part_id", F.col("_key").alias("_jp")), "part_id", "left").join(src.where("side = 'en'").select("part_id", F.col("_key").alias("_en")), "part_id", "left")
+    j = j.withColumn("_js", T.verbatim_key("jp_span")).withColumn("_es", T.verbatim_key("en_span"))
+    ok = lambda s, k: F.coalesce((F.col(s) == "") | F.contains(F.col(k), F.col(s)), F.lit(False))
+    at = F.when(F.col("_js") != "", F.expr("instr(_jp, _js)"))
+    return j.select("ph_id", "part_id", F.coalesce(at, F.lit(0)).alias("at"), ok("_js", "_jp").alias("jp_ok"), ok("_es", "_en").alias("en_ok"), F.coalesce(F.length("_jp"), F.lit(0)).alias("source_chars"))
+
+
+def phrase_yield(spans: DataFrame) -> DataFrame:
+    """part_id, phrases, survivors, dropped, source_chars, too_few: fewer than FEW verbatim phrases on a long part."""
+    kept = F.col("jp_ok") & F.col("en_ok")
+    per = spans.where("part_id is not null").groupBy("part_id").agg(F.count("*").alias("phrases"), F.count_if(kept).alias("survivors"), F.count_if(~kept).alias("dropped"), F.max("source_chars").cast("long").alias("source_chars"))
+    return per.withColumn("too_few", (F.col("source_chars") > LONG_PART) & (F.col("survivors") < FEW))
+
+
 def gates(pairs: DataFrame, sources: DataFrame) -> DataFrame:
     """part_id, pairs, longest_jp, longest_en, coverage, verdict: the first gate that fails, else ok.
 

@@ -6,6 +6,7 @@ affair. Results go through the cache tables like any other source.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -29,8 +30,15 @@ def checker(name: str, *args) -> Column:
 register_checker("contains", lambda text, anchor: F.when(F.contains(text, anchor), "PRESENT").when(text.isNull() | anchor.isNull(), "UNCLEAR").otherwise("RESOLVED"))
 
 
-def called(df: DataFrame, call: Callable[[pd.DataFrame], pd.DataFrame], schema: str, tries: int = 3) -> DataFrame:
-    """Each Arrow batch through `call`, again after an error, `tries` times in all."""
+class Permanent(Exception):
+    """An error that another try won't mend (a refused request, a bad key)."""
+
+
+def called(df: DataFrame, call: Callable[[pd.DataFrame], pd.DataFrame], schema: str, tries: int = 3, wait: float = 0.0, most_wait: float = 60.0) -> DataFrame:
+    """Each Arrow batch through `call`, `tries` times in all; the wait before the next try doubles each time, up to `most_wait`.
+
+    A Permanent error ends the task at once.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -38,9 +46,12 @@ def called(df: DataFrame, call: Callable[[pd.DataFrame], pd.DataFrame], schema:
                 try:
                     yield call(pdf)
                     break
+                except Permanent:
+                    raise
                 except Exception:
                     if n == tries - 1:
                         raise
+                    time.sleep(min(most_wait, wait * 2**n))
 
     return df.mapInPandas(run, schema)
 
@@ -67,3 +78,32 @@ def answered_once(work: DataFrame, cache: DataFrame, keys: list[str], call: Call
     new = called(todo, call, cache.schema)
     kept = cache.join(work.select(*keys).distinct(), keys, "left_anti") if force else cache
     return kept.unionByName(new)
+
+
+def extracted(inputs: DataFrame, keys: list[str], prompt: Column, complete: Callable[[list[str]], list[str]], payload: str, tries: int = 3, wait: float = 0.0) -> DataFrame:
+    """keys, prompt, answer, body: a model's answers to a prompt a row, parsed. This is the form of every model step:
+    inputs joined into a prompt, an injected function, answers parsed strictly (a body of null: no JSON that parses).
+
+    payload: the DDL of the answer's records.
+    """
+    from hibiki.functions import text as T
+
+    asked = inputs.select(*keys, prompt.alias("prompt"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in asked.schema) + ", answer string"
+    got = called(asked, lambda pdf: pdf.assign(answer=complete(pdf["prompt"].tolist())), schema, tries, wait)
+    inner = T.unfenced("answer")
+    ok = F.try_parse_json(inner).isNotNull() & (inner != "")
+    return got.withColumn("body", F.from_json(F.when(ok, inner), payload))
+
+
+def sampling(model: Column, temperature: float, fixed: tuple[str, ...]) -> Column:
+    """The temperature to ask for; null for models (by prefix) that accept none."""
+    out = F
+    for p in fixed:
+        out = out.when(F.lower(model).startswith(p), F.lit(None).cast("double"))
+    return out.otherwise(F.lit(temperature)) if fixed else F.lit(temperature)
+
+
+def now_utc() -> Column:
+    """The time of the query in UTC, as text; to be kept out of what is compared."""
+    return F.concat(F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00"))

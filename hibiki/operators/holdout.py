@@ -45,6 +45,12 @@ def cell_counts(holdout: DataFrame) -> DataFrame:
     return holdout.groupBy("bucket", "pov").agg(F.count("*").alias("n"))
 
 
+def style_corpus(parts: DataFrame, held: DataFrame, through: int) -> DataFrame:
+    """parts up to a number, with `held`: whether the part is held out (to be left out, and counted). held: id."""
+    h = held.select("id").where("id is not null").distinct().withColumn("_h", F.lit(True))
+    return parts.where(F.col("part_number") <= through).join(h, "id", "left").withColumn("held", F.col("_h").isNotNull()).drop("_h")
+
+
 def nested_counts(holdout: DataFrame) -> DataFrame:
     """bucket, counts: a map of stratum to count."""
     return cell_counts(holdout).groupBy("bucket").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("pov", F.col("n").cast("int"))))).alias("counts"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hibiki.functions import text as T
+
 VERDICTS = ("RESOLVED", "PRESENT", "UNCLEAR")
 
 
@@ -38,9 +40,18 @@ def changes(now: DataFrame, before: DataFrame) -> DataFrame:
     return j.withColumn("change", change).where("change is not null")
 
 
-def history(verdicts: DataFrame, labels: list[str]) -> DataFrame:
-    """issue + one column a label: the verdict of every run. The labels are given, so the pivot needs no pass of its own."""
-    return verdicts.groupBy("issue").agg(*[F.max(F.when(F.col("label") == x, F.col("verdict"))).alias(x) for x in labels])
+def history(verdicts: DataFrame, issues: DataFrame) -> DataFrame:
+    """issue, part, label, verdict of every run; '?' where the ledger doesn't know the issue. issues: issue, part.
+
+    The long form holds every run, whatever their number; pivoted() makes columns of chosen labels.
+    """
+    part = issues.select("issue", F.col("part").cast("string").alias("part"))
+    return verdicts.join(part, "issue", "left").select("issue", F.coalesce("part", F.lit("?")).alias("part"), "label", "verdict")
+
+
+def pivoted(history_rows: DataFrame, labels: list[str]) -> DataFrame:
+    """issue + one column a label. The labels are given, so the pivot needs no pass of its own."""
+    return history_rows.groupBy("issue").agg(*[F.max(F.when(F.col("label") == x, F.col("verdict"))).alias(x) for x in labels])
 
 
 def needs_revision(flags: DataFrame, group: str, severity: str, minors: int = 3) -> DataFrame:
@@ -50,11 +61,16 @@ def needs_revision(flags: DataFrame, group: str, severity: str, minors: int = 3)
 
 
 def follow_ups(turns: DataFrame, chat: str, order: list[str], opens: Column, text: str, cap: int = 2500) -> DataFrame:
-    """chat, turn, reply: what follows each opening turn up to the next, put together and capped."""
+    """chat, turn, reply: what follows each opening turn up to the next: trimmed texts a blank line apart, capped; blank ones are left out."""
     w = Window.partitionBy(chat).orderBy(*order)
     t = turns.withColumn("turn", F.count_if(opens).over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_seq", F.row_number().over(w))
-    rest = t.where(~opens & (F.col("turn") > 0))
-    return rest.groupBy(chat, "turn").agg(F.substring(F.expr(f"listagg({text}, ' ') WITHIN GROUP (ORDER BY _seq)"), 1, cap).alias("reply"))
+    rest = t.where(~opens & (F.col("turn") > 0)).withColumn("_text", T.trimmed(text)).where("_text <> ''")
+    return rest.groupBy(chat, "turn").agg(F.substring(F.expr("listagg(_text, '\n\n') WITHIN GROUP (ORDER BY _seq)"), 1, cap).alias("reply"))
+
+
+def enabled(issues: DataFrame, flag: str = "enabled") -> DataFrame:
+    """Issues that are switched on; without a value they are."""
+    return issues.where(F.coalesce(F.col(flag), F.lit(True)))
 
 
 def first_of(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:

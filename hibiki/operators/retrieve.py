@@ -93,6 +93,21 @@ def deduplicated(hits: DataFrame, key: list[str], cap: int | None = None) -> Dat
     return out.orderBy(F.desc("score"), "q", "rank").limit(cap) if cap else out
 
 
+def retrieved(hits: DataFrame, stages: list[list[str]], cap: int) -> DataFrame:
+    """hits, de-duplicated in stages: in each a key once, kept by the first query that found it, with its own score; then the `cap` best.
+
+    The stages follow each other as in a loop over queries and ranks: a row once, then a pair of texts once.
+    """
+    for key in stages:
+        hits = deduplicated(hits, key)
+    return hits.orderBy(F.desc("score"), "q", "rank").limit(cap)
+
+
+def outside(rows: DataFrame, parts: DataFrame, key: str) -> DataFrame:
+    """Rows whose part isn't in the set; rows without part stay."""
+    return rows.join(parts.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
+
+
 def floored(hits: DataFrame, floor: float, key: list[str], cap: int) -> DataFrame:
     """hits above a score floor, a key once, at most `cap` of the best."""
     return deduplicated(hits.where(F.col("score") >= floor), key, cap)
@@ -107,8 +122,3 @@ def filter_counts(pairs: DataFrame, excluded: DataFrame, key: str, length_floor:
     unlike = ~out & ~short & F.coalesce(F.col("semantic_score") < semantic_floor, F.lit(False))
     return j.agg(F.count("*").alias("total"), F.count_if(out).alias("excluded"), F.count_if(short).alias("short"), F.count_if(unlike).alias("unlike"), F.count_if(~out & ~short & ~unlike).alias("kept"))
 
-
-def floor_quantile(values: Column, p: float) -> Column:
-    """The element at floor(n p) of the sorted values (from 0)."""
-    a = F.array_sort(F.collect_list(values))
-    return F.try_element_at(a, F.least(F.size(a), F.floor(F.size(a) * p).cast("int") + 1))

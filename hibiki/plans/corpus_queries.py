@@ -144,13 +144,27 @@ def q_narrator_detect(spark, d):
     return validate.narrator(_paras(spark, d), "柊", "鳴海")
 
 
+_VERIFIED = (
+    f"{ENTRIES}, {COUNTS}, ver AS (SELECT e.id, j.n_paragraphs AS jp, k.n_paragraphs AS en, CASE WHEN j.part_id IS NOT NULL THEN 'present' WHEN coalesce(kakuyomu_episode_id, '') = '' THEN 'print_only' ELSE 'missing' END AS jp_status, "
+    "CASE WHEN k.part_id IS NOT NULL THEN 'present' WHEN coalesce(url_en, '') = '' THEN 'source_only' ELSE 'missing' END AS en_status, j.part_id IS NOT NULL AND k.part_id IS NOT NULL AS complete, "
+    "coalesce(j.n_paragraphs > 0 AND k.n_paragraphs > 0 AND abs(j.n_paragraphs - k.n_paragraphs)::DOUBLE / greatest(j.n_paragraphs, k.n_paragraphs) > 0.25, false) AS skewed "
+    f"FROM entry e LEFT JOIN cnt j ON j.part_id = e.id AND j.side = 'jp' LEFT JOIN cnt k ON k.part_id = e.id AND k.side = 'en' WHERE e.kind = 'part' AND part_number IS NOT NULL AND pov IN {_IN})"
+)
+
+
 @query(
-    f"WITH {ENTRIES}, {COUNTS} SELECT e.id, coalesce(j.n_paragraphs, 0) AS jp, coalesce(k.n_paragraphs, 0) AS en, CASE WHEN j.part_id IS NULL THEN 'no_jp' WHEN k.part_id IS NULL THEN 'no_en' "
-    "WHEN abs(j.n_paragraphs - k.n_paragraphs)::DOUBLE / greatest(j.n_paragraphs, k.n_paragraphs, 1) > 0.25 THEN 'skewed' ELSE 'complete' END AS status "
-    "FROM entry e LEFT JOIN cnt j ON j.part_id = e.id AND j.side = 'jp' LEFT JOIN cnt k ON k.part_id = e.id AND k.side = 'en' WHERE e.kind = 'part'"
+    f"WITH {_VERIFIED} SELECT * FROM ver"
 )
 def q_verify_pairs(spark, d):
-    return corpus.verify_pairs(_entries(spark, d).where("kind = 'part'"), _counts(spark, d))
+    return corpus.verify_pairs(_entries(spark, d).where(corpus.is_target(POVS)), _counts(spark, d))
+
+
+@query(
+    f"WITH {_VERIFIED} SELECT count(*) AS in_scope, (SELECT count(*) FROM entry) - count(*) AS out_of_scope, count(*) FILTER (jp_status = 'present') AS jp_present, count(*) FILTER (en_status = 'present') AS en_present, count(*) FILTER (complete) AS complete_pairs, "
+    "count(*) FILTER (jp_status = 'missing') AS missing_jp, count(*) FILTER (jp_status = 'print_only') AS missing_jp_print_only, count(*) FILTER (en_status = 'missing') AS missing_en, count(*) FILTER (en_status = 'source_only') AS missing_en_source_only, count(*) FILTER (skewed) AS skewed FROM ver"
+)
+def q_verify_report(spark, d):
+    return corpus.verify_report(q_verify_pairs(spark, d), _entries(spark, d))
 
 
 @query(f"WITH {COUNTS}, w AS (SELECT part_id, max(n_paragraphs) FILTER (side = 'jp') jp, max(n_paragraphs) FILTER (side = 'en') en FROM cnt GROUP BY part_id) SELECT part_id, jp AS n_paragraphs FROM w WHERE jp = en AND jp > 0")
@@ -307,12 +321,12 @@ def q_paragraph_split(spark, d):
     return corpus.split_paragraphs(table(spark, d, "documents"), "doc_id", "text")
 
 
-@query(f"WITH {PARAS} SELECT side, {kind('text')} AS found, coalesce(kind, 'none') AS given, count(*) AS n FROM para GROUP BY ALL")
+@query(f"WITH {PARAS} SELECT side, CASE WHEN side = 'jp' AND left({trimmed('text')}, 1) IN ('“', '\"') THEN 'narration' ELSE {kind('text')} END AS found, coalesce(kind, 'none') AS given, count(*) AS n FROM para GROUP BY ALL")
 def q_paragraph_kind(spark, d):
-    return _paras(spark, d).groupBy("side", T.paragraph_kind("text").alias("found"), F.coalesce("kind", F.lit("none")).alias("given")).agg(F.count("*").alias("n"))
+    return _paras(spark, d).groupBy("side", T.side_kind("text", "side").alias("found"), F.coalesce("kind", F.lit("none")).alias("given")).agg(F.count("*").alias("n"))
 
 
-@query(r"SELECT id, CASE WHEN length(c) > 60 THEN left(c, 50) || '_' || left(sha1(url), 10) ELSE c END AS name FROM (SELECT id, url, regexp_replace(url, '[^A-Za-z0-9._-]+', '_', 'g') AS c FROM (SELECT DISTINCT id, url_jp || '?title=' || coalesce(title_en, '') AS url FROM toc WHERE url_jp IS NOT NULL))")
+@query(r"SELECT id, CASE WHEN length(c) > 60 THEN left(c, 50) || '_' || left(sha1(url), 10) ELSE c END || '.html' AS name FROM (SELECT id, url, regexp_replace(regexp_replace(url, '^https?://', ''), '[^A-Za-z0-9._-]', '_', 'g') AS c FROM (SELECT DISTINCT id, url_jp || '?title=' || coalesce(title_en, '') AS url FROM toc WHERE url_jp IS NOT NULL))")
 def q_page_safe_name(spark, d):
     urls = table(spark, d, "toc").where("url_jp is not null").select("id", F.concat("url_jp", F.lit("?title="), F.coalesce("title_en", F.lit(""))).alias("url")).distinct()
     return urls.select("id", T.safe_name("url", 60, 50).alias("name"))

@@ -51,18 +51,10 @@ def q_regressions(spark, d):
     return ledger.changes(_on(spark, d, "2024-01-02"), _on(spark, d, "2024-01-01"))
 
 
-_LABELS = [f"2024-01-{i:02d}" for i in range(1, 8)]
-
-
-@query(f"WITH {_RUN} SELECT issue, " + ", ".join(f"max(CASE WHEN label = '{x}' THEN verdict END) AS \"{x}\"" for x in _LABELS) + " FROM run GROUP BY issue")
+@query(f"WITH {_RUN}, {_ISSUE} SELECT run.issue, coalesce(part::VARCHAR, '?') AS part, label, verdict FROM run LEFT JOIN issue ON issue.issue = run.issue")
 def q_verdict_history(spark, d):
-    return ledger.history(_run(spark, d), _LABELS)
-
-
-@query(f"WITH {_RUN} SELECT issue, label, verdict FROM run")
-def q_verdict_history_all(spark, d):
-    """The history across every run, in long form: q_verdict_history's SQL holds seven labels only."""
-    return _run(spark, d)
+    """The verdicts of every issue in every run, in long form, with the issue's part."""
+    return ledger.history(_run(spark, d), _issues(spark, d))
 
 
 @query(
@@ -94,7 +86,7 @@ def q_revision_gate(spark, d):
 
 @query(
     "WITH t AS (SELECT user_id, event_type, count(*) FILTER (event_type = 'view') OVER w AS turn, row_number() OVER w AS seq FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) "
-    "SELECT user_id, turn, left(string_agg(event_type, ' ' ORDER BY seq), 2500) AS reply FROM t WHERE event_type <> 'view' AND turn > 0 GROUP BY user_id, turn"
+    "SELECT user_id, turn, left(string_agg(event_type, chr(10) || chr(10) ORDER BY seq), 2500) AS reply FROM t WHERE event_type <> 'view' AND turn > 0 GROUP BY user_id, turn"
 )
 def q_transcript_followup(spark, d):
     e = table(spark, d, "events").select("user_id", "event_type", "ts", "event_id")

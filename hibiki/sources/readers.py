@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hibiki.functions import text as T
+from hibiki.functions.plan import guarded
 
 TOC = (
     "id string, kind string, part_number int, chapter_number int, chapter_subnumber double, volume_number int, pov string, title_en string, url_en string, url_jp string, "
@@ -68,8 +69,10 @@ def transcripts(spark: SparkSession, path: str) -> DataFrame:
 
     Files below a folder named subagents don't count.
     """
-    lines = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path)
-    lines = lines.select(F.col("_metadata.file_path").alias("chat"), F.monotonically_increasing_id().alias("_at"), "value").where(~F.col("chat").contains("/subagents/"))
+    # a chat is read whole, so that its turns keep the order of the file
+    whole = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl").text(path, wholetext=True)
+    whole = whole.select(F.col("_metadata.file_path").alias("chat"), "value").where(~F.col("chat").contains("/subagents/"))
+    lines = whole.select("chat", F.posexplode(F.split("value", "\r?\n")).alias("_at", "value"))
     v = lines.withColumn("j", F.try_parse_json("value")).where("j is not null")
     string = F.try_variant_get("j", "$.message.content", "string")
     listed = F.try_variant_get("j", "$.message.content", "array<struct<type: string, text: string>>")
@@ -80,8 +83,64 @@ def transcripts(spark: SparkSession, path: str) -> DataFrame:
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """The rows of a JSON object keyed by part; a missing file is an empty manifest."""
-    rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", MANIFEST)).alias("key", "m"))
-    return rows.select("key", "m.*")
+    if not exists(spark, path):
+        rows = spark.createDataFrame([], "value string")
+    else:
+        rows = spark.read.text(path, wholetext=True)
+    return rows.select(F.explode(F.from_json("value", MANIFEST)).alias("key", "m")).select("key", "m.*")
+
+
+def overrides(spark: SparkSession, path: str) -> DataFrame:
+    """id, episode of a JSON object; a missing file or one that doesn't parse gives no rows."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "id string, episode string")
+    return spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string, string>")).alias("id", "episode"))
+
+
+def index(spark: SparkSession, path: str) -> DataFrame | None:
+    """row_id, the pair's columns and embedding of an index folder (pairs, vectors, meta); None unless all three are there.
+
+    As many pairs as vectors, and as many as the meta row says, or reading fails.
+    """
+    if not all(exists(spark, f"{path}/{x}") for x in ("pairs", "vectors", "meta")):
+        return None
+    pairs, vectors, meta = (spark.read.parquet(f"{path}/{x}") for x in ("pairs", "vectors", "meta"))
+    both = pairs.join(vectors, "row_id", "full")
+    odd = both.agg(F.count_if(pairs["row_id"].isNull() | vectors["row_id"].isNull()).alias("odd"), F.count("*").alias("n")).join(meta.select(F.col("rows").alias("said")), F.lit(True))
+    return guarded(pairs.join(vectors, "row_id"), odd, (F.col("odd") == 0) & (F.col("n") == F.col("said")), f"{path}: pairs and vectors don't match")
+
+
+def index_exists(spark: SparkSession, path: str) -> bool:
+    """The index is there and holds a row."""
+    return all(exists(spark, f"{path}/{x}") for x in ("pairs", "vectors", "meta")) and not spark.read.parquet(f"{path}/vectors").isEmpty()
+
+
+def part_texts(spark: SparkSession, path: str, part_id: str) -> DataFrame:
+    """side, text of one part's files (<id>.<side>.txt); a part without its source side is an error."""
+    rows = texts(spark, path).withColumn("_f", F.regexp_extract("file", r"([^/]+)\.([a-z]+)\.txt$", 1)).withColumn("side", F.regexp_extract("file", r"([^/]+)\.([a-z]+)\.txt$", 2)).where(F.col("_f") == part_id)
+    return guarded(rows.select("side", "text"), rows.agg(F.count_if(F.col("side") == "jp").alias("n")), F.col("n") > 0, f"{part_id}: no source text")
+
+
+def style_dimensions(files: DataFrame) -> DataFrame:
+    """number, slug, name, body, extracted_through, n_chapters, extracted_at, model of the notes whose file name has the form NN-slug.md.
+
+    files: what notes() gives. What a file lacks of the last four comes from the first that has it.
+    """
+    form = r"(?:^|/)(\d{2})-([a-z0-9][a-z0-9-]*)\.md$"
+    m = lambda k: F.try_element_at("meta", F.lit(k))
+    rows = files.where(F.col("path").rlike(form)).select(
+        F.regexp_extract("path", form, 1).cast("int").alias("number"), F.regexp_extract("path", form, 2).alias("slug"), m("dimension").alias("name"), T.trimmed("body").alias("body"),
+        *[m(k).alias(k) for k in ("extracted_through", "n_chapters", "extracted_at", "model")],
+    )
+    shared = rows.agg(*[F.min_by(k, F.when(F.col(k).isNotNull(), F.struct("number", "slug"))).alias(f"_{k}") for k in ("extracted_through", "n_chapters", "extracted_at", "model")])
+    j = rows.join(shared, F.lit(True))
+    return j.select("number", "slug", "name", "body", *[F.coalesce(k, f"_{k}").alias(k) for k in ("extracted_through", "n_chapters", "extracted_at", "model")])
+
+
+def cached_pages(spark: SparkSession, path: str) -> DataFrame:
+    """bucket, name, html of a page cache (bucket/name.html): what fetching would give, read as a table."""
+    rows = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.html").text(path, wholetext=True)
+    return rows.select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([^/]+)$", 1).alias("bucket"), F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([^/]+)$", 2).alias("name"), F.col("value").alias("html"))
 
 
 def holdout(spark: SparkSession, path: str, target: int = 30, seed: int = 7) -> DataFrame:
@@ -216,6 +275,70 @@ def page_paragraphs(pages: DataFrame, key: str, html: str, container: str, navig
     return pages.select(F.col(key).alias("k"), F.col(html).alias("h")).mapInPandas(parse, f"k {kind}, idx int, kind string, text string").withColumnRenamed("k", key)
 
 
+class _Blocks(HTMLParser):
+    """The blocks (paragraphs and headings) inside one container, numbered from 0, with their text and links."""
+
+    def __init__(self, container: str) -> None:
+        super().__init__(convert_charrefs=True)
+        self.container, self.depth, self.block, self.link = container, 0, None, None
+        self.blocks: list[tuple[list[str], list[list]]] = []
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        a = dict(attrs)
+        if tag in ("br", "img", "hr", "meta", "input", "link"):
+            return
+        if self.depth or self.container in (a.get("class") or "").split():
+            self.depth += 1
+            if tag in ("p", "h2", "h3"):
+                self.blocks.append(([], []))
+                self.block = self.blocks[-1]
+            elif tag == "a" and self.block and a.get("href"):
+                self.link = [a["href"], []]
+                self.block[1].append(self.link)
+
+    def handle_endtag(self, tag: str) -> None:
+        if self.depth:
+            self.depth -= 1
+            if tag in ("p", "h2", "h3"):
+                self.block = None
+            elif tag == "a":
+                self.link = None
+
+    def handle_data(self, data: str) -> None:
+        if self.block and data.strip():
+            self.block[0].append(data.strip())
+            if self.link:
+                self.link[1].append(data.strip())
+
+
+def contents_links(pages: DataFrame, key: str, html: str, container: str, hosts: list[str], break_text: str) -> tuple[DataFrame, DataFrame]:
+    """(page, block_index, pos, label, href, block), (page, block_index): the story links of contents pages, and the blocks
+    that say where a volume ends. Links count by a host in their address; pages are parsed a batch at a time."""
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ends = re.compile(break_text)
+        for pdf in batches:
+            out = []
+            for k, h in zip(pdf["k"], pdf["h"]):
+                p = _Blocks(container)
+                p.feed(h or "")
+                pos = 0
+                for i, (text, found) in enumerate(p.blocks):
+                    block = " ".join(text)
+                    if ends.search(block):
+                        out.append((k, i, -1, None, None, None))
+                        continue
+                    for href, label in found:
+                        if href.startswith("http") and any(x in href for x in hosts):
+                            out.append((k, i, pos, "".join(label), href, block))
+                            pos += 1
+            yield pd.DataFrame(out, columns=["page", "block_index", "pos", "label", "href", "block"])
+
+    kind = pages.schema[key].dataType.simpleString()
+    rows = pages.select(F.col(key).alias("k"), F.col(html).alias("h")).mapInPandas(parse, f"page {kind}, block_index int, pos int, label string, href string, block string")
+    return rows.where("pos >= 0"), rows.where("pos < 0").select("page", "block_index")
+
+
 def page_links(pages: DataFrame, key: str, html: str, hosts: list[str]) -> DataFrame:
     """key, idx, href, label: the links to listed hosts, in order; a pure SQL scan of the page."""
     pattern = r'(?s)<a\s[^>]*href="(https?://[^"]+)"[^>]*>(.*?)</a>'

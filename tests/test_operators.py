@@ -167,9 +167,15 @@ def test_a_long_part_with_omissions_is_one_path(spark):
 
 
 def test_verify_and_gaps(spark):
-    p = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "id string")
-    c = spark.createDataFrame([("a", "jp", 4), ("a", "en", 4), ("b", "jp", 4), ("b", "en", 2), ("c", "jp", 1)], "part_id string, side string, n_paragraphs long")
-    assert {(r["id"], r["status"]) for r in corpus.verify_pairs(p, c).collect()} == {("a", "complete"), ("b", "skewed"), ("c", "no_en"), ("d", "no_jp")}
+    p = spark.createDataFrame([("a", "k", "u"), ("b", "k", "u"), ("c", "k", None), ("d", None, "u"), ("e", "k", "u"), ("z", "k", "u")], "id string, kakuyomu_episode_id string, url_en string")
+    c = spark.createDataFrame([("a", "jp", 4), ("a", "en", 4), ("b", "jp", 4), ("b", "en", 2), ("c", "jp", 1), ("z", "jp", 0), ("z", "en", 9)], "part_id string, side string, n_paragraphs long")
+    got = {r["id"]: (r["jp_status"], r["en_status"], r["complete"], r["skewed"]) for r in corpus.verify_pairs(p, c).collect()}
+    assert got == {
+        "a": ("present", "present", True, False), "b": ("present", "present", True, True), "c": ("present", "source_only", False, False), "d": ("print_only", "missing", False, False),
+        "e": ("missing", "missing", False, False), "z": ("present", "present", True, False),
+    }
+    r = corpus.verify_report(corpus.verify_pairs(p, c), p.unionByName(p.limit(2))).first().asDict()
+    assert r == {"in_scope": 6, "jp_present": 4, "en_present": 3, "complete_pairs": 3, "missing_jp": 1, "missing_jp_print_only": 1, "missing_en": 2, "missing_en_source_only": 1, "skewed": 1, "out_of_scope": 2}
 
 
 def test_answers_parse_and_default(spark):
@@ -199,7 +205,8 @@ def test_scorecard_drops_orphans_and_history_keeps_them(spark):
     i = spark.createDataFrame([(1, "tense", 4)], "issue int, category string, part int")
     rows = {(r["category"], r["part"]): r["total"] for r in ledger.scorecard(v, i).collect()}
     assert rows == {("all", "all"): 2, ("all", "4"): 2, ("tense", "all"): 2}
-    assert {(r["issue"], r["l1"], r["l2"]) for r in ledger.history(v, ["l1", "l2"]).collect()} == {(1, "RESOLVED", "PRESENT"), (9, "PRESENT", None)}
+    assert {(r["issue"], r["l1"], r["l2"]) for r in ledger.pivoted(ledger.history(v, i), ["l1", "l2"]).collect()} == {(1, "RESOLVED", "PRESENT"), (9, "PRESENT", None)}
+    assert {r["part"] for r in ledger.history(v, i).where("issue = 9").collect()} == {"?"}
     now, old = v.where("label = 'l2'").select("issue", "verdict"), v.where("label = 'l1'").select("issue", "verdict")
     assert [r["change"] for r in ledger.changes(now, old).collect()] == ["regression"]
 
@@ -209,15 +216,16 @@ def test_the_whole_history_has_every_label(spark, tmp_path):
 
     days = [f"2024-{m:02d}-{d:02d}" for m in (1, 2, 12) for d in range(1, 29)]
     rows = [(i, i % 3, f"{x} 10:00:00", "error") for i, x in enumerate(days)] + [(900, 0, f"{days[0]} 11:00:00", "purchase")]
+    spark.createDataFrame([(0, "x", 4)], "c_custkey int, c_mktsegment string, c_nationkey int").write.parquet(str(tmp_path / "customer.parquet"))
     spark.createDataFrame(rows, "event_id long, user_id int, ts string, event_type string").withColumn("ts", F.to_timestamp("ts")).write.parquet(str(tmp_path / "events.parquet"))
-    got = {(r["issue"], r["label"]): r["verdict"] for r in entry.queries()["q_verdict_history_all"](spark, str(tmp_path)).collect()}
+    got = {(r["issue"], r["label"]): r["verdict"] for r in entry.queries()["q_verdict_history"](spark, str(tmp_path)).collect()}
     assert got == {(i % 3, x): "PRESENT" for i, x in enumerate(days)} | {(0, days[0]): "RESOLVED"}
 
 
 def test_follow_ups(spark):
-    rows = [("c", 0, "a", "x"), ("c", 1, "u", "q"), ("c", 2, "a", "r1"), ("c", 3, "a", "r2"), ("c", 4, "u", "q2")]
+    rows = [("c", 0, "a", "x"), ("c", 1, "u", "q"), ("c", 2, "a", "r1"), ("c", 3, "a", " r2 "), ("c", 4, "a", " "), ("c", 5, "u", "q2")]
     df = spark.createDataFrame(rows, "chat string, n int, role string, text string")
-    assert [tuple(r) for r in ledger.follow_ups(df, "chat", ["n"], F.col("role") == "u", "text").collect()] == [("c", 1, "r1 r2")]
+    assert [tuple(r) for r in ledger.follow_ups(df, "chat", ["n"], F.col("role") == "u", "text").collect()] == [("c", 1, "r1\n\nr2")]
 
 
 def test_boundary(spark):

@@ -46,7 +46,7 @@ def test_runs_manifest_holdout(spark, tmp_path):
     p = put(tmp_path / "m.json", json.dumps({"1": {"part_id": "part_001", "model": "m"}}))
     m = readers.manifest(spark, p)
     assert m.first()["part_id"] == "part_001"
-    assert writers.demote(writers.promote(m, m.withColumn("model", F.lit("n"))), "part_009").first()["model"] == "n"
+    assert writers.demote(writers.promote(m, m.first()["part_id"], en_text="t", model="n"), "part_009").first()["model"] == "n"
     h = readers.holdout(spark, put(tmp_path / "h.json", '{"part_ids": ["p"]}')).first()
     assert (h["seed"], h["target_count"], h["part_ids"]) == (7, 30, ["p"])
 
