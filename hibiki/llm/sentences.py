@@ -6,7 +6,9 @@ terminator that ends nothing (in decimals, URLs, initials, abbreviations,
 quotations, brackets) masked by a private-use character. Border marks are then
 put into the copy by regexes of the scripts' terminators; the pieces between
 borders give positions, and the units are cut from the original text, so
-nothing has to be undone in it.
+nothing has to be undone in it. A step is taken only by texts that hold a
+character which it is about; steps that follow each other are told apart by a
+border which Catalyst doesn't inline across.
 
 Defined results: a null, empty or blank text has no units, nor has a line
 without a letter or digit. Repeated rows give repeated units. An unpaired quote
@@ -15,6 +17,9 @@ or bracket protects nothing. Positions count code points.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +56,9 @@ SEGMENT = f"(?:{PROTECTED})|[^{_FIRSTS}]++|[\\s\\S]"
 _MARKS = ".!?。！？．｡…؟।॥‥⁈⁉‼"
 _SPACES = " \t\n\r　\xa0      "
 
+# Fixed value: white space at the ends of a unit.
+WHITE = "".join(map(chr, [*range(9, 14), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
 
 def _folded(text: Column) -> Column:
     """Full-width ASCII to ASCII, Greek and Cyrillic twins to Latin letters, odd spaces to the space, character by character."""
@@ -61,25 +69,54 @@ def _folded(text: Column) -> Column:
     return F.translate(text, wide + twins + spaces, plain + latin + " " * len(spaces))
 
 
-def _masked(text: Column) -> Column:
-    t = text
+Step = tuple[Callable[[Column], Column], Callable[[Column], Column]]  # does it concern the text; what it makes of it
+
+
+def _holds(*chars: str) -> Callable[[Column], Column]:
+    return lambda t: reduce(lambda a, b: a | b, [F.contains(t, F.lit(c)) for c in chars])
+
+
+def _matches(pattern: str) -> Callable[[Column], Column]:
+    return lambda t: t.rlike(pattern)
+
+
+def _each(*rules: tuple[str, str]) -> Callable[[Column], Column]:
+    return lambda t: reduce(lambda x, r: F.regexp_replace(x, *r), rules, t)
+
+
+def _url_marks(t: Column) -> Column:
+    """Every inner mark of an address masked; the address may be of any length."""
+    inner = lambda x: F.concat(F.translate(F.left(x, F.length(x) - 1), ".!?", MASK * 3), F.right(x, F.lit(1)))
+    pieces = F.regexp_extract_all(t, F.lit(r"(?:https?://|www\.)[\x21-\x7e]++|[\s\S](?:(?!https?://|www\.)[\s\S])*+"), F.lit(0))
+    return F.array_join(F.transform(pieces, lambda x: F.when(x.rlike(r"^(?:https?://|www\.)"), inner(x)).otherwise(x)), "")
+
+
+MASKING: list[Step] = [
     # numbers, times, versions: a mark between digits; the Japanese full-width one as well
-    t = F.regexp_replace(t, r"(?<=\p{N})[.．](?=\p{N})", MASK)
-    # URLs and addresses: every inner mark
-    t = F.regexp_replace(t, r"(?<=(?:https?://|www\.)[\x21-\x7e]{0,200})[.!?](?=[\x21-\x7e])", MASK)
+    (_holds(".", "．"), _each((r"(?<=\p{N})[.．](?=\p{N})", MASK))),
+    (_holds("://", "www."), _url_marks),
     # e.g., i.e., a.m.: letter, stop, letter, stop
-    t = F.regexp_replace(t, r"(?<![\p{L}])(e|i|a|p)\.\s?(g|e|m)\.", f"$1{MASK}$2.")
-    t = F.regexp_replace(t, rf"(?<=(?<![\p{{L}}])[ei]{MASK}[ge])\.", MASK)
+    (_matches(r"[eiap]\.\s?[gem]\."), _each((r"(?<![\p{L}])(e|i|a|p)\.\s?(g|e|m)\.", f"$1{MASK}$2."), (rf"(?<=(?<![\p{{L}}])[ei]{MASK}[ge])\.", MASK))),
     # a time that opens a clause ("At 6:30 a.m. Irie ..."), or whose clause goes on, ends nothing
-    t = F.regexp_replace(
-        t,
-        rf"((?:^|[.!?…;:,”\"\n]|\b(?:[Aa]nd|[Bb]ut|[Ss]o|[Tt]hen|[Yy]et|[Bb]ecause))\s*+(?:[Aa]t|[Bb]y|[Aa]round|[Bb]efore|[Aa]fter|[Uu]ntil|[Ff]rom|[Aa]bout)\s+\d{{1,2}}(?:[:{MASK}]\d\d)?\s+[ap]{MASK}m)\.",
-        f"$1{MASK}",
-    )
-    t = F.regexp_replace(t, rf"(?<![\p{{L}}])({TITLES})\.", f"$1{MASK}")
-    t = F.regexp_replace(t, rf"(?<![\p{{L}}])({NUMBERED})\.(?=\s*\p{{N}})", f"$1{MASK}")
-    # initials, unless the letter is the label of a noun
-    return F.regexp_replace(t, rf"(?<![\p{{L}}\p{{N}}])(?<!\b(?:{LABELS})\s{{1,2}})(\p{{Lu}})\.(?=\s+\p{{Lu}})", f"$1{MASK}")
+    (
+        _holds(f"{MASK}m."),
+        _each(
+            (
+                rf"((?:^|[.!?…;:,”\"\n]|\b(?:[Aa]nd|[Bb]ut|[Ss]o|[Tt]hen|[Yy]et|[Bb]ecause))\s*+(?:[Aa]t|[Bb]y|[Aa]round|[Bb]efore|[Aa]fter|[Uu]ntil|[Ff]rom|[Aa]bout)\s+\d{{1,2}}(?:[:{MASK}]\d\d)?\s+[ap]{MASK}m)\.",
+                f"$1{MASK}",
+            )
+        ),
+    ),
+    (
+        _holds("."),
+        _each(
+            (rf"(?<![\p{{L}}])({TITLES})\.", f"$1{MASK}"),
+            (rf"(?<![\p{{L}}])({NUMBERED})\.(?=\s*\p{{N}})", f"$1{MASK}"),
+            # initials, unless the letter is the label of a noun
+            (rf"(?<![\p{{L}}\p{{N}}])(?<!\b(?:{LABELS})\s{{1,2}})(\p{{Lu}})\.(?=\s+\p{{Lu}})", f"$1{MASK}"),
+        ),
+    ),
+]
 
 
 def _sheltered(text: Column) -> Column:
@@ -95,46 +132,79 @@ def _sheltered(text: Column) -> Column:
     return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(SEGMENT), F.lit(0)), one), "")
 
 
-def _bordered(t: Column) -> Column:
+_UNLESS_REPORTED = rf"(?!\s+(?:(?:Mr|Mrs|Ms|Dr|Prof){MASK}?\s+)?\p{{Lu}}[\p{{L}}'’-]*(?:\s+\p{{Lu}}[\p{{L}}'’-]*)?\s+(?:{REPORTING})\b)"
+BORDERS: list[Step] = [
     # 1. scripts whose marks need no space behind them
-    t = F.regexp_replace(t, rf"([。！？｡।॥؟‼⁈⁉]+[。！？｡!?…]*[{CLOSE}]*)(?=[^。！？｡!?…।॥؟{CLOSE}])(?!、|，)", f"$1{BORDER}")
-    t = F.regexp_replace(t, rf"(?<=[぀-ヿ㐀-鿿])([.．!?]+[{CLOSE}]*)(?=[぀-ヿ㐀-鿿「『])", f"$1{BORDER}")
+    (_matches("[。！？｡।॥؟‼⁈⁉]"), _each((rf"([。！？｡।॥؟‼⁈⁉]+[。！？｡!?…]*[{CLOSE}]*)(?=[^。！？｡!?…।॥؟{CLOSE}])(?!、|，)", f"$1{BORDER}"))),
+    (_matches("[぀-ヿ㐀-鿿][.．!?]"), _each((rf"(?<=[぀-ヿ㐀-鿿])([.．!?]+[{CLOSE}]*)(?=[぀-ヿ㐀-鿿「『])", f"$1{BORDER}"))),
     # 2. Japanese ellipses: an end after a predicate, none after a particle
-    t = F.regexp_replace(t, rf"(?<=[ただるいうくすつぬむぐぶよねかぞわん])([…‥]+[{CLOSE}]*)(?=[^。！？｡!?….…、，{CLOSE}])", f"$1{BORDER}")
-    t = F.regexp_replace(t, rf"(?<=[぀-ヿ㐀-鿿])([…‥]+)(?=[\s\p{{Z}}])", f"$1{BORDER}")
+    (
+        _holds("…", "‥"),
+        _each(
+            (rf"(?<=[ただるいうくすつぬむぐぶよねかぞわん])([…‥]+[{CLOSE}]*)(?=[^。！？｡!?….…、，{CLOSE}])", f"$1{BORDER}"),
+            (r"(?<=[぀-ヿ㐀-鿿])([…‥]+)(?=[\s\p{Z}])", f"$1{BORDER}"),
+        ),
+    ),
     # 3. marks followed by a space: an end unless a small letter goes on
-    unless_reported = rf"(?!\s+(?:(?:Mr|Mrs|Ms|Dr|Prof){MASK}?\s+)?\p{{Lu}}[\p{{L}}'’-]*(?:\s+\p{{Lu}}[\p{{L}}'’-]*)?\s+(?:{REPORTING})\b)"
-    t = F.regexp_replace(t, rf"([.!?…]+)(?=[\s\p{{Z}}]+[^\p{{Ll}}\s\p{{Z}}])", f"$1{BORDER}")
-    t = F.regexp_replace(t, rf"([.!?…]+[{CLOSE}]+)(?=[\s\p{{Z}}]+[^\p{{Ll}}\s\p{{Z}}]){unless_reported}", f"$1{BORDER}")
+    (
+        _matches(r"[.!?…]"),
+        _each(
+            (r"([.!?…]+)(?=[\s\p{Z}]+[^\p{Ll}\s\p{Z}])", f"$1{BORDER}"),
+            (rf"([.!?…]+[{CLOSE}]+)(?=[\s\p{{Z}}]+[^\p{{Ll}}\s\p{{Z}}]){_UNLESS_REPORTED}", f"$1{BORDER}"),
+        ),
+    ),
     # 4. scripts without marks: a space between their letters
-    t = F.regexp_replace(t, r"(?<=[฀-๿຀-໿က-႟ក-៿])(?=[ 　\xa0]+[฀-๿຀-໿က-႟ក-៿])", BORDER)
+    (_matches("[฀-๿຀-໿က-႟ក-៿]"), _each((r"(?<=[฀-๿຀-໿က-႟ក-៿])(?=[ 　\xa0]+[฀-๿຀-໿က-႟ក-៿])", BORDER))),
     # 5. line breaks: around a line without letters, and after a complete clause
-    t = F.regexp_replace(t, r"(?<=[\n\r])(?=[^\p{L}\p{N}\n\r]+(?:[\n\r]|$))", BORDER)
-    t = F.regexp_replace(t, r"(?<=^|[\n\r])([^\p{L}\p{N}\n\r]+)(?=[\n\r])", f"$1{BORDER}")
-    t = F.regexp_replace(t, r"(?=[\n\r]\s*[\n\r])", BORDER)
-    t = F.regexp_replace(t, rf"(?<=[ただるいうくすつぬむぐぶよねかぞわん」』）。！？!?…])(?=[ \t　]*+[\n\r])", BORDER)
-    t = F.regexp_replace(t, rf"(?<![,;:\p{{Pd}}\s])(?<!\b(?:{FUNCTION_WORDS}))(?=[ \t]*+[\n\r]\s*+[\p{{Lu}}“\"‘(])(?<=[\x21-ʯ”’…])", BORDER)
-    return t
+    (
+        _holds("\n", "\r"),
+        _each(
+            (r"(?<=[\n\r])(?=[^\p{L}\p{N}\n\r]+(?:[\n\r]|$))", BORDER),
+            (r"(?<=^|[\n\r])([^\p{L}\p{N}\n\r]+)(?=[\n\r])", f"$1{BORDER}"),
+            (r"(?=[\n\r]\s*[\n\r])", BORDER),
+            (r"(?<=[ただるいうくすつぬむぐぶよねかぞわん」』）。！？!?…])(?=[ \t　]*+[\n\r])", BORDER),
+            (rf"(?<![,;:\p{{Pd}}\s])(?<!\b(?:{FUNCTION_WORDS}))(?=[ \t]*+[\n\r]\s*+[\p{{Lu}}“\"‘(])(?<=[\x21-ʯ”’…])", BORDER),
+        ),
+    ),
+]
+
+
+def _stepped(df: DataFrame, name: str, steps: list[Step]) -> DataFrame:
+    """df with the column taken through the steps that concern it."""
+    for concerns, make in steps:
+        df = once(df, {name: F.when(concerns(F.col(name)), make(F.col(name))).otherwise(F.col(name))})
+    return df
+
+
+#: Pieces whose starts are summed up at once.
+RUN = 64
+
+
+def _starts(parts: Column) -> Column:
+    """Where each piece starts: runs of pieces are summed, then starts within runs, so that time isn't the square of their number."""
+    size = F.transform(parts, F.length)
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / RUN).cast("int")), lambda r: F.slice(size, r * RUN + 1, RUN))
+
+    def summed(xs: Column, first: Column) -> Column:
+        return F.aggregate(xs, F.array(first), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+
+    firsts = summed(F.transform(runs, lambda r: F.aggregate(r, F.lit(0), lambda a, x: a + x)), F.lit(0))
+    return F.flatten(F.zip_with(runs, F.slice(firsts, 1, F.size(runs)), lambda r, first: F.slice(summed(r, first), 1, F.size(r))))
 
 
 def units(df: DataFrame, text: str, keys: list[str], start: str = "start_pos", end: str = "end_pos") -> DataFrame:
     """keys + start_pos, end_pos (exclusive), unit: one row per sentence unit of every text."""
     base = df.select(*keys, F.col(text).alias("_text")).where(F.col("_text").isNotNull() & (F.col("_text") != ""))
-    base = once(base, {"_t": _sheltered(_masked(_folded(F.translate("_text", MASK + GAP + BORDER, "�" * 3))))})
-    base = once(base, {"_parts": F.split(_bordered(F.col("_t")), BORDER)}).drop("_t")
-    # running ends of the pieces; the pieces are as long as what they stand for
-    ends = F.aggregate(
-        "_parts",
-        F.array(F.lit(0)),
-        lambda acc, p: F.concat(acc, F.array(F.element_at(acc, -1) + F.length(p))),
-    )
-    base = once(base, {"_ends": ends})
-    pieces = base.select(*keys, "_text", "_ends", F.posexplode("_parts").alias("_k", "_piece")).where(F.col("_piece").rlike(r"[\p{L}\p{N}]"))
-    a = F.element_at("_ends", F.col("_k") + 1)
-    b = F.element_at("_ends", F.col("_k") + 2)
-    pieces = pieces.select(*keys, a.alias("_a"), F.substring("_text", a + 1, b - a).alias("_raw"))
-    lead = F.length(F.regexp_extract("_raw", r"^[\s\p{Z}\x85\x1c-\x1f]*+", 0))
-    tail = F.length(F.regexp_extract("_raw", r"[\s\p{Z}\x85\x1c-\x1f]*+$", 0))
+    base = once(base, {"_t": _folded(F.translate("_text", MASK + GAP + BORDER, "�" * 3))})
+    base = _stepped(base, "_t", [*MASKING, (_matches(f"[{_FIRSTS}]"), _sheltered), *BORDERS])
+    base = once(base, {"_parts": F.split("_t", BORDER)}).drop("_t")
+    # the pieces are as long as what they stand for; a text of one piece needs no sums
+    one = F.array(F.lit(0))
+    base = once(base, {"_starts": F.when(F.size("_parts") == 1, one).otherwise(_starts(F.col("_parts")))})
+    pieces = base.select(*keys, "_text", F.explode(F.arrays_zip(F.col("_starts").alias("a"), F.col("_parts").alias("p"))).alias("_at")).where(F.col("_at.p").rlike(r"[\p{L}\p{N}]"))
+    pieces = pieces.select(*keys, F.col("_at.a").alias("_a"), F.substring("_text", F.col("_at.a") + 1, F.length("_at.p")).alias("_raw"))
+    lead = F.length("_raw") - F.length(F.ltrim("_raw", F.lit(WHITE)))
+    tail = F.length("_raw") - F.length(F.rtrim("_raw", F.lit(WHITE)))
     pieces = once(pieces, {"_lead": lead, "_tail": tail})
     size = F.length("_raw") - F.col("_lead") - F.col("_tail")
     return pieces.select(
