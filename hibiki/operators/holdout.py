@@ -51,11 +51,6 @@ def style_corpus(parts: DataFrame, held: DataFrame, through: int) -> DataFrame:
     return parts.where(F.col("part_number") <= through).join(h, "id", "left").withColumn("held", F.col("_h").isNotNull()).drop("_h")
 
 
-def nested_counts(holdout: DataFrame) -> DataFrame:
-    """bucket, counts: a map of stratum to count."""
-    return cell_counts(holdout).groupBy("bucket").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("pov", F.col("n").cast("int"))))).alias("counts"))
-
-
 def reference_windows(parts: DataFrame, size: int = WINDOW) -> DataFrame:
     """id, part_number, ref_id, ref_number, place: the last `size` eligible parts before each part, oldest first.
 

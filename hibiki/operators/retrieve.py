@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Queries sent out at once: BLOCK x dimension doubles are what a task holds beside its rows.
-BLOCK = 2048
+#: Queries and rows that a task holds at once.
+BLOCK, ROWS = 8192, 32_768
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -30,62 +28,49 @@ def cosine(a: Column, b: Column) -> Column:
 def topk(queries: DataFrame, rows: DataFrame, row_id: str, vector: str, label: str, k: int, same_label: bool = True) -> DataFrame:
     """q, row_id, score, rank: the k best rows of every query (not itself; not of its label if masked).
 
-    The query set is sent out in blocks of bounded size; each task multiplies a
-    block with the Arrow batches of its rows and hands on its own k best, so what
-    is shuffled is k rows a query and task. Ties go to the smaller id; cosines are
-    rounded to 6 decimals first.
+    Queries and rows are spread by hash over blocks of bounded size, and each block
+    of queries meets each block of rows in a task that hands on its own k best; so
+    no task holds more than a block of either and nothing passes the driver. Ties
+    go to the smaller id; cosines are rounded to 6 decimals first.
     """
-    clean = rows.where(F.col(vector).isNotNull()).select(F.col(row_id).alias("row_id"), F.col(vector).alias("v"), F.col(label).alias("label"))
-    found = None
-    for block in _blocks(queries.where(F.col(vector).isNotNull()).select(F.col(row_id).alias("row_id"), F.col(vector).alias("v"), F.col(label).alias("label")).orderBy("row_id")):
-        part = _scan(clean, block, k, same_label)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return rows.sparkSession.createDataFrame([], "q long, row_id long, score double, rank int")
+    clean = lambda df: df.where(F.col(vector).isNotNull()).select(F.col(row_id).cast("long").alias("id"), F.col(vector).alias("v"), F.col(label).alias("l"))
+    q, r = clean(queries), clean(rows)
+    nq, nr = (max(1, -(-df.count() // size)) for df, size in ((q, BLOCK), (r, ROWS)))
+    q = q.select("id", "v", "l", F.pmod(F.xxhash64("id"), F.lit(nq)).alias("qb"), F.explode(F.sequence(F.lit(0), F.lit(nr - 1))).alias("rb"))
+    r = r.select("id", "v", "l", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))).alias("qb2"), F.pmod(F.xxhash64("id"), F.lit(nr)).alias("rb2"))
+
+    def meet(qs: pd.DataFrame, rs: pd.DataFrame) -> pd.DataFrame:
+        if not len(qs) or not len(rs):
+            return pd.DataFrame({"q": [], "row_id": [], "score": []}).astype({"q": "int64", "row_id": "int64", "score": "float64"})
+        rs = rs.sort_values("id")
+        ids, have, labels = rs["id"].to_numpy(), _unit(np.stack(rs["v"]).astype(np.float64)), rs["l"].to_numpy(dtype=object)
+        out = []
+        for at in range(0, len(qs), 256):
+            part = qs.iloc[at : at + 256]
+            own = part["id"].to_numpy()
+            score = np.round(_unit(np.stack(part["v"]).astype(np.float64)) @ have.T, 6)
+            score[own[:, None] == ids[None, :]] = -np.inf
+            if not same_label:
+                score[part["l"].to_numpy(dtype=object)[:, None] == labels[None, :]] = -np.inf
+            # the k-th best and its equals, then by score and id
+            least = np.partition(score, score.shape[1] - k, axis=1)[:, -k] if score.shape[1] > k else np.full(len(part), -np.inf)
+            row, col = np.nonzero((score >= least[:, None]) & (score > -np.inf))
+            order = np.lexsort((ids[col], -score[row, col], row))
+            row, col = row[order], col[order]
+            ok = np.arange(len(row)) - np.searchsorted(row, row) < k
+            out.append(pd.DataFrame({"q": own[row[ok]], "row_id": ids[col[ok]], "score": score[row[ok], col[ok]]}))
+        return pd.concat(out)
+
+    found = q.groupBy("qb", "rb").cogroup(r.groupBy("qb2", "rb2")).applyInPandas(meet, "q long, row_id long, score double")
     w = Window.partitionBy("q").orderBy(F.desc("score"), "row_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _blocks(queries: DataFrame) -> Iterator[list]:
-    chunk = []
-    for r in queries.toLocalIterator():
-        chunk.append(r)
-        if len(chunk) == BLOCK:
-            yield chunk
-            chunk = []
-    if chunk:
-        yield chunk
-
-
 def _unit(m: np.ndarray) -> np.ndarray:
     n = np.linalg.norm(m, axis=1, keepdims=True)
     return m / np.where(n == 0, 1, n)
 
 
-def _scan(rows: DataFrame, block: list, k: int, same_label: bool) -> DataFrame:
-    ids = np.array([r["row_id"] for r in block])
-    labels = np.array([r["label"] for r in block], dtype=object)
-    sent = rows.sparkSession.sparkContext.broadcast((ids, labels, _unit(np.array([r["v"] for r in block], dtype=np.float64))))
-
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        q, ql, qv = sent.value
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            cls = pdf["row_id"].to_numpy()
-            score = np.round(qv @ _unit(np.stack(pdf["v"]).astype(np.float64)).T, 6)
-            score[q[:, None] == cls[None, :]] = -np.inf
-            if not same_label:
-                score[ql[:, None] == pdf["label"].to_numpy(dtype=object)[None, :]] = -np.inf
-            for i, row in enumerate(score):
-                least = np.partition(row, len(row) - k)[len(row) - k] if len(row) > k else -np.inf
-                at = np.flatnonzero((row >= least) & (row > -np.inf))
-                at = at[np.lexsort((cls[at], -row[at]))][:k]
-                yield pd.DataFrame({"q": q[i], "row_id": cls[at], "score": row[at]})
-
-    return rows.mapInPandas(scan, "q long, row_id long, score double")
-
-
 def deduplicated(hits: DataFrame, key: list[str], cap: int | None = None) -> DataFrame:
     """hits, a key once: the first query that found it keeps it, with its own score; then the cap by score."""
     w = Window.partitionBy(*key).orderBy("q", "rank")
@@ -122,3 +107,23 @@ def filter_counts(pairs: DataFrame, excluded: DataFrame, key: str, length_floor:
     unlike = ~out & ~short & F.coalesce(F.col("semantic_score") < semantic_floor, F.lit(False))
     return j.agg(F.count("*").alias("total"), F.count_if(out).alias("excluded"), F.count_if(short).alias("short"), F.count_if(unlike).alias("unlike"), F.count_if(~out & ~short & ~unlike).alias("kept"))
 
+
+
+def at_places(values: DataFrame, column: str, places: dict[str, int], width: float = 1e-4) -> dict[str, float]:
+    """The values at places (from 0) of the order of a column: counts of ranges first, then ranks within the few ranges that hold a place.
+
+    Ranges are `width` wide, so scores have at most 2 / width of them; equal values are counted, not sorted.
+    """
+    v = values.where(F.col(column).isNotNull()).select(F.col(column).alias("x"), F.floor(F.col(column) / width).alias("r"))
+    before, want, start = 0, {}, {}
+    for r, n in sorted((x["r"], x["n"]) for x in v.groupBy("r").agg(F.count("*").alias("n")).collect()):
+        for name, place in places.items():
+            if before <= place < before + n:
+                want[name], start[r] = (r, place), before
+        before += n
+    if not want:
+        return {}
+    per = v.where(F.col("r").isin(list(start))).groupBy("r", "x").agg(F.count("*").alias("k"))
+    upto = per.withColumn("upto", F.sum("k").over(Window.partitionBy("r").orderBy("x")))
+    picks = [F.min(F.when((F.col("r") == r) & (F.col("upto") > place - start[r]), F.col("x"))).alias(name) for name, (r, place) in want.items()]
+    return upto.agg(*picks).first().asDict()

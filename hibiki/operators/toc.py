@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
 def flattened(entries: DataFrame, nest: list[str], key: str) -> DataFrame:
@@ -61,7 +62,16 @@ def first_gaps(used: DataFrame, group: str, number: str) -> DataFrame:
 
 
 def sequence_ids(new: DataFrame, used: DataFrame, group: str, order: list[str], number: str) -> DataFrame:
-    """new + number: counted on from the greatest used number of the group."""
+    """new + number: counted on from the greatest used number of the group.
+
+    Rows are counted in ranges of the first order column, each started at the sum of those before it, so a group that
+    holds many rows is spread over tasks; an order that starts with no number is one range.
+    """
     top = used.groupBy(F.col(group).alias("_g")).agg(F.max(number).alias("_top"))
-    w = Window.partitionBy(group).orderBy(*order)
-    return new.join(top, F.col(group) == F.col("_g"), "left").withColumn(number, F.coalesce("_top", F.lit(0)) + F.row_number().over(w)).drop("_g", "_top")
+    numeric = isinstance(new.schema[order[0]].dataType, NumericType)
+    rows = new.withColumn("_range", F.floor(F.col(order[0]) / 10_000) if numeric else F.lit(0))
+    before = Window.partitionBy(group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy(group, "_range").agg(F.count("*").alias("_n")).withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    w = Window.partitionBy(group, "_range").orderBy(*order)
+    j = rows.join(starts, [group, "_range"]).join(top, F.col(group) == F.col("_g"), "left")
+    return j.withColumn(number, F.coalesce("_top", F.lit(0)) + F.col("_start") + F.row_number().over(w)).select(*new.columns, number)

@@ -74,21 +74,10 @@ def q_index_scores_summary(spark, d):
     n = p.agg(F.count("*").alias("n"), F.round(F.avg("query_score"), 6).alias("mean"), F.count_if(F.col("shape") == "1:1").alias("c"))
     counts = n.first()
     total, aligned = counts["n"], counts["c"]
-
-    def at(df: DataFrame, size: int, place: int):
-        """The value at a place of the order: counts of each distinct value, then a running sum over these."""
-        from pyspark.sql import Window
-
-        if not size:
-            return None
-        per = df.groupBy("query_score").agg(F.count("*").alias("k"))
-        run = per.withColumn("upto", F.sum("k").over(Window.orderBy("query_score")))
-        return run.where(F.col("upto") > min(size - 1, place)).agg(F.min("query_score")).first()[0]
-
-    quantiles = {name: at(p, total, int(total * q)) for name, q in (("p05", 0.05), ("p10", 0.1), ("p25", 0.25))}
-    calibrated = at(p.where("shape = '1:1'"), aligned, aligned // 20)
+    quantiles = retrieve.at_places(p, "query_score", {name: min(max(0, total - 1), int(total * q)) for name, q in (("p05", 0.05), ("p10", 0.1), ("p25", 0.25))})
+    calibrated = retrieve.at_places(p.where("shape = '1:1'"), "query_score", {"at": aligned // 20}).get("at")
     suspects = table(spark, d, "precedent").agg(F.count_if((F.col("length_score") >= 0.3) & (F.coalesce("query_score", F.lit(1.0)) < F.lit(calibrated))).alias("suspects"))
-    return n.join(suspects, F.lit(True)).select("n", "mean", *[F.lit(v).cast("double").alias(k) for k, v in quantiles.items()], F.lit(calibrated).cast("double").alias("calibrated"), "suspects")
+    return n.join(suspects, F.lit(True)).select("n", "mean", *[F.lit(quantiles.get(k)).cast("double").alias(k) for k in ("p05", "p10", "p25")], F.lit(calibrated).cast("double").alias("calibrated"), "suspects")
 
 
 _KEY = lambda x: f"lower({squeezed(x)})"

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hibiki.session import checkpoint_dir
+from hibiki.sources import readers
 
 
 def _source(spark: SparkSession, path: str) -> DataFrame:
@@ -31,7 +32,10 @@ def run_once(stream: DataFrame, write: Callable[[DataFrame, int], None], name: s
 def daily_counts(spark: SparkSession, path: str, late: str = "1 day") -> DataFrame:
     """day, event_type, n: counts in one-day windows of event time, read as a stream and written as a table.
 
-    Time without zone must become a timestamp before a watermark can be set.
+    Time without zone must become a timestamp before a watermark can be set. Windows
+    are updated: a batch writes those that it changed, under its number, so that a
+    repeated batch replaces its own rows; the last count of a window is the one
+    that holds. The watermark drops the state of days that are over.
     """
     events = _source(spark, path).withColumn("at", F.col("ts").cast("timestamp")).withWatermark("at", late)
     counts = events.groupBy(F.window("at", "1 day").alias("w"), "event_type").agg(F.count("*").alias("n"))
@@ -39,11 +43,11 @@ def daily_counts(spark: SparkSession, path: str, late: str = "1 day") -> DataFra
     out = f"{checkpoint_dir(spark)}/streams-out/{name}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # complete mode: every batch holds all windows, the last one stays
-        batch.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "event_type", "n").write.mode("overwrite").parquet(out)
+        batch.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "event_type", "n").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    run_once(counts, write, name, "complete")
-    return spark.read.schema("day string, event_type string, n bigint").parquet(out)
+    run_once(counts, write, name, "update")
+    written = spark.read.schema("day string, event_type string, n bigint, batch bigint").parquet(out)
+    return written.groupBy("day", "event_type").agg(F.max_by("n", "batch").alias("n"))
 
 
 def ingest(spark: SparkSession, source: str, target: str, key: str, name: str) -> DataFrame:
@@ -55,11 +59,8 @@ def ingest(spark: SparkSession, source: str, target: str, key: str, name: str) -
 
     def write(batch: DataFrame, batch_id: int) -> None:
         new = batch.dropDuplicates([key])
-        try:
-            new = new.join(spark.read.parquet(target).select(key), key, "left_anti")
-        except Exception as e:  # the target doesn't exist yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
+        if readers.exists(spark, target):
+            new = new.join(spark.read.schema(schema).parquet(target).select(key), key, "left_anti")
         new.select(*schema.names).write.mode("append").parquet(target)
 
     run_once(_source(spark, source), write, name)

@@ -267,3 +267,19 @@ def test_token_prefix(spark):
     df = spark.createDataFrame([(1, "abcdef"), (2, "ab"), (3, None)], "k int, t string")
     got = {r["k"]: (r["text"], r["tokens"], r["shortened"]) for r in sections.token_prefix(df, "k", "t", lambda s: [ord(c) for c in s], lambda i: "".join(map(chr, i)), 4).collect()}
     assert got == {1: ("abcd", 4, True), 2: ("ab", 2, False), 3: (None, 0, False)}
+
+
+def test_values_at_places_equal_the_sorted_list(spark):
+    r = random.Random(4)
+    xs = [round(r.random(), r.choice([2, 6])) for _ in range(500)] + [0.5] * 200
+    df = spark.createDataFrame([(x,) for x in xs] + [(None,)], "s double")
+    want = sorted(xs)
+    assert retrieve.at_places(df, "s", {"a": 0, "b": 35, "c": 350, "d": 699}, 0.05) == {"a": want[0], "b": want[35], "c": want[350], "d": want[699]}
+    assert retrieve.at_places(df.limit(0), "s", {"a": 0}) == {}
+
+
+def test_a_hot_part_is_numbered_in_ranges(spark):
+    new = spark.createDataFrame([(i, "p") for i in range(0, 60_000, 7)] + [(3, "q")], "k long, part string")
+    used = spark.createDataFrame([("p", 5)], "part string, n int")
+    got = {r["k"]: r["n"] for r in toc.sequence_ids(new, used, "part", ["k"], "n").where("part = 'p'").collect()}
+    assert [got[i] for i in range(0, 60_000, 7)] == list(range(6, 6 + len(got)))
