@@ -30,44 +30,53 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Signs of like shape, each line one class.
+# Signs of like shape, each line one class: Latin with Cyrillic, Greek, Armenian, Cherokee, Lisu and Coptic letters,
+# kana with Han signs, dashes, dots. Digits stay apart from letters: joined with O, l and I they would turn numbers into words.
 ALIKE = """
 a а α
-c с ϲ
+c с ϲ ⲥ
 d ԁ
-e е
-h һ
+e е ҽ
+g ց
+h һ հ
 i і ι
-j ј ϳ
+j ј ϳ յ
 k κ
-o о ο օ
-p р ρ
+n ո
+o о ο օ ⲟ
+p р ρ ⲣ
 q ԛ
 s ѕ
-u υ
+u υ ս
 v ν ѵ
-w ԝ
-x х
+w ԝ ա
+x х ⲭ
 y у γ
-A А Α
-B В Β
-C С Ϲ
-E Е Ε
-H Н Η
-I І Ι Ӏ
-J Ј
-K К Κ
-M М Μ Ϻ
-N Ν
-O О Ο
-P Р Ρ
-S Ѕ
-T Т Τ
-V Ѵ
-W Ԝ
-X Х Χ
-Y Ү Υ
-Z Ζ
+A А Α Ꭺ ꓮ
+B В Β Ᏼ ꓐ
+C С Ϲ Ꮯ ꓚ Ⲥ
+D Ꭰ ꓓ
+E Е Ε Ꭼ ꓰ
+F Ϝ ꓝ
+G Ԍ Ꮐ ꓖ
+H Н Η Ꮋ ꓧ Ⲏ
+I І Ι Ӏ ꓲ
+J Ј Ꭻ ꓙ
+K К Κ Ꮶ ꓗ Ⲕ
+L Ꮮ ꓡ
+M М Μ Ϻ Ꮇ ꓟ Ⲙ
+N Ν ꓠ Ⲛ
+O О Ο Օ ꓳ Ⲟ
+P Р Ρ Ꮲ ꓑ Ⲣ
+R Ꭱ ꓣ
+S Ѕ Տ Ꮪ ꓢ
+T Т Τ Ꭲ ꓔ Ⲧ
+U Ս ꓴ
+V Ѵ Ꮩ ꓦ
+W Ԝ Ꮃ ꓪ
+X Х Χ ꓫ Ⲭ
+Y Ү Υ ꓬ Ⲩ
+Z Ζ Ꮓ ꓜ Ⲍ
 エ 工
 カ 力
 ト 卜
@@ -77,6 +86,12 @@ Z Ζ
 タ 夕
 チ 千
 ミ 彡
+オ 才
+ヌ 又
+ム 厶
+ノ 丿
+ヒ 匕
+メ 乂
 ヘ へ
 ベ べ
 ペ ぺ
@@ -196,7 +211,8 @@ class Rewriter:
     def __call__(self, text: str | None) -> str | None:
         if text is None or not self.rules:
             return text
-        for _ in range(8):
+        # each round takes symbols to their representatives or makes the text shorter, so this ends
+        while True:
             if not self.firsts.search(text):
                 return text
             out, at = [], 0
@@ -209,7 +225,6 @@ class Rewriter:
             if new_text == text:
                 return text
             text = new_text
-        return text
 
 
 def learn(texts: DataFrame, column: str) -> dict[str, str]:
@@ -257,3 +272,14 @@ def same_to_the_eye(df: DataFrame, keys: list[str], row_id: str, text: str, cano
     ids = rows.select(*keys, "id", "t")
     out = pairs.join(ids.withColumnRenamed("t", "ta").withColumnRenamed("id", "a"), [*keys, "ta"]).join(ids.withColumnRenamed("t", "tb").withColumnRenamed("id", "b"), [*keys, "tb"])
     return out.where("a != b").select(*keys, F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).distinct()
+
+
+def eye_classes(df: DataFrame, keys: list[str], row_id: str, text: str, canonical: str) -> DataFrame:
+    """keys, id, class_id, variants, links: every row's class of like-looking texts (named by its smallest id), the class's
+    number of different texts, and the rows whose text differs from the row's and looks the same. No pairs are made.
+    """
+    rows = df.where(F.col(text).isNotNull()).select(*keys, F.col(row_id).alias("id"), F.xxhash64(text).alias("t"), F.xxhash64(canonical).alias("c"), F.xxhash64(F.lit(1), canonical).alias("c2")).distinct()
+    per_text = rows.groupBy(*keys, "c", "c2", "t").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    per_class = per_text.groupBy(*keys, "c", "c2").agg(F.min("first").alias("class_id"), F.count("*").alias("variants"), F.sum("n").alias("all"))
+    sized = per_text.join(per_class, [*keys, "c", "c2"]).select(*keys, "c", "c2", "t", "class_id", "variants", (F.col("all") - F.col("n")).alias("links"))
+    return rows.join(sized, [*keys, "c", "c2", "t"]).select(*keys, "id", "class_id", "variants", "links")

@@ -123,3 +123,24 @@ def test_units_of_hard_input(spark):
     assert all(long[r["start_pos"] : r["end_pos"]] == r["unit"] for r in got if r["id"] == 2)
     assert [r["unit"] for r in got if r["id"] == 3] == ["a「b。", "c"] and not any(r["id"] in (1, 4, 5) for r in got)
     assert sentences.units(df.limit(0), "text", ["id"]).count() == 0
+
+
+def test_starts_are_running_sums(spark):
+    from pyspark.sql import functions as F
+
+    for n in (1, 2, 63, 64, 65, 200, 1000):
+        parts = ["x" * (1 + i % 7) for i in range(n)]
+        got = spark.createDataFrame([(parts,)], "p array<string>").select(sentences._starts(F.col("p"))).first()[0]
+        assert got == [sum(map(len, parts[:i])) for i in range(n)]
+
+
+def test_long_addresses_are_whole(spark):
+    text = "See https://a.example/" + "x.y?z!" * 200 + "end. Then go."
+    got = [r["unit"] for r in sentences.units(spark.createDataFrame([(1, text)], "id int, text string"), "text", ["id"]).collect()]
+    assert sorted(map(len, got)) == [8, len(text) - 9]
+
+
+def test_escapes_count_as_what_they_stand_for(spark):
+    df = spark.createDataFrame([(1, "m", '{"n": "\\u96e8 \\"a\\" \\u0041\\n\\ud83d\\ude00 end."}')], "_id long, _src string, _text string")
+    r = truncation.measured(truncation.with_shape(df, "_text")).where("field = '.n'").first()
+    assert (r["chars"], r["bytes"], r["complete"]) == (14, 19, True)

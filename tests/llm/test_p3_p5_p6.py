@@ -158,6 +158,15 @@ def test_recall_is_that_of_rows(spark):
     assert (r["queries"], r["truth"], r["same"]) == (100, 500, same) and same <= r["found"] <= 500 and r["recall"] == r["found"] / 500
 
 
+def test_exact_search_is_brute_force(spark):
+    m = clustered(400)
+    df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(m)], "row_id long, embedding array<float>")
+    got, want = {}, truth(m, 5)
+    for r in neighbours.exact(df, "row_id", "embedding", 16, 5, each=20).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["neighbour"]))
+    assert {i: [b for _, b in sorted(v)] for i, v in got.items()} == {i: want[i] for i in range(0, 400, 20)}
+
+
 def test_neighbours_of_few(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.1])], "row_id long, embedding array<float>")
     assert {(r["id"], r["neighbour"]) for r in neighbours.nearest(df, "row_id", "embedding", 2).collect()} == {(1, 2), (2, 1)}
@@ -166,9 +175,9 @@ def test_neighbours_of_few(spark):
 
 SAME = [
     ("Ｐｉａｎｏ", "Piano"), ("ｶﾊﾞﾝ", "カバン"), ("が", "が"), ("a​b", "ab"), ("a\xadb⁠", "ab"), ("a b", "a\xa0b"), ("a b", "a　b"), ("РС", "PC"), ("Νοtе", "Note"),
-    ("卜ンネル", "トンネル"), ("カナ工", "カナエ"), ("ス―パー", "スーパー"), ("⽉", "月"), ("隣", "隣"), ("ﬁre", "fire"), ("café", "café"), ("夜︀", "夜"), ("ｶ‍ﾞ", "ガ"), ("⾧い", "長い"),
+    ("卜ンネル", "トンネル"), ("カナ工", "カナエ"), ("ス―パー", "スーパー"), ("⽉", "月"), ("隣", "隣"), ("ﬁre", "fire"), ("café", "café"), ("夜︀", "夜"), ("ｶ‍ﾞ", "ガ"), ("⾧い", "長い"), ("ᎪᏴ", "AB"), ("օո", "on"), ("ꓐꓳ", "BO"), ("天オ", "天才"),
 ]
-OTHER = [("か", "が"), ("ab", "a b"), ("Piano", "piano"), ("①", "1"), ("は", "ば"), ("x²", "x2"), ("雨", "雪"), ("a\nb", "a b")]
+OTHER = [("か", "が"), ("ab", "a b"), ("Piano", "piano"), ("①", "1"), ("は", "ば"), ("x²", "x2"), ("雨", "雪"), ("a\nb", "a b"), ("10", "IO")]
 
 
 @pytest.mark.parametrize("rich", [True, False])
@@ -194,5 +203,11 @@ def test_pairs_equal_brute_force(spark):
     f = lookalike.Rewriter(rules)
     got = {(r["id_a"], r["id_b"]) for r in lookalike.same_to_the_eye(lookalike.canonicalised(df, "text", rules), ["unit"], "id", "text", "canonical").collect()}
     assert got == {(i, j) for i, a in rows for j, b in rows if i < j and a is not None and b is not None and a != b and f(a) == f(b)}
+    members = {r["id"]: (r["class_id"], r["variants"], r["links"]) for r in lookalike.eye_classes(lookalike.canonicalised(df, "text", rules), ["unit"], "id", "text", "canonical").collect()}
+    for i, a in rows:
+        if a is not None:
+            like = [(j, b) for j, b in rows if b is not None and f(a) == f(b)]
+            assert members[i] == (min(j for j, _ in like), len({b for _, b in like}), sum(b != a for _, b in like))
     empty = df.limit(0)
+    assert lookalike.eye_classes(lookalike.canonicalised(empty, "text", rules), ["unit"], "id", "text", "canonical").count() == 0
     assert lookalike.same_to_the_eye(lookalike.canonicalised(empty, "text", lookalike.learn(empty, "text")), ["unit"], "id", "text", "canonical").count() == 0
