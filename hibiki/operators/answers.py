@@ -24,6 +24,19 @@ def coerced(value: Column | str, known: tuple[str, ...], default: str) -> Column
     return F.when(v.isin(*known), v).otherwise(default)
 
 
+def registered(rows: DataFrame, column: str, registry: DataFrame, fallback: str = "other") -> DataFrame:
+    """rows + label, description of the category that the registry (key, label, description) has, or of the fallback's."""
+    r = registry.select(F.col("key").alias("_key"), "label", "description")
+    known = rows.join(r.select("_key"), F.lower(F.trim(F.col(column))) == F.col("_key"), "left")
+    named = known.withColumn(column, F.coalesce("_key", F.lit(fallback))).drop("_key")
+    return named.join(r, F.col(column) == F.col("_key"), "left").drop("_key")
+
+
+def described(registry: DataFrame) -> DataFrame:
+    """text: the registry as lines of a prompt, by key."""
+    return registry.withColumn("_line", F.concat(F.lit("- "), "key", F.lit(": "), "description")).agg(F.expr("listagg(_line, '\n') WITHIN GROUP (ORDER BY key)").alias("text"))
+
+
 def parsed(answers: DataFrame, text: str) -> DataFrame:
     """answers + json (the payload, null where there is none that parses) and body (its records)."""
     body = T.unfenced(text)

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from hibiki.functions import text as T
 
+from . import ranges
+
 # Gates of an extraction.
 MAX_PAIR_JP, MAX_PAIR_EN, MIN_COVERAGE, SPARSE_COVERAGE, LONG_PART, FEW = 600, 1800, 0.70, 0.50, 2000, 5
 
@@ -49,10 +51,10 @@ def trivial(a: str, b: str, longest: int = 30) -> Column:
 
 
 def inversions(df: DataFrame, group: list[str], order: list[str], position: str) -> DataFrame:
-    """group, n, inversions: neighbours in one order that stand the other way round in another."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    back = F.col(position) < F.lag(position).over(w)
-    return df.where(F.col(position).isNotNull()).withColumn("_back", back).groupBy(*group).agg(F.count("*").alias("n"), F.count_if("_back").alias("inversions"))
+    """group, n, inversions: neighbours in one order that stand the other way round in another. The order starts with a number."""
+    rows = df.where(F.col(position).isNotNull()).select(*dict.fromkeys([*group, *order, position]))
+    rows = ranges.with_previous(rows, group, order, F.col(position), "_before")
+    return rows.groupBy(*group).agg(F.count("*").alias("n"), F.count_if(F.col(position) < F.col("_before")).alias("inversions"))
 
 
 def spans_in_sources(phrases: DataFrame, paras: DataFrame) -> DataFrame:
@@ -77,6 +79,18 @@ def phrase_yield(spans: DataFrame) -> DataFrame:
     return per.withColumn("too_few", (F.col("source_chars") > LONG_PART) & (F.col("survivors") < FEW))
 
 
+def span_misses(spans: DataFrame, worst: int) -> tuple[DataFrame, DataFrame]:
+    """(n, misses, rate over all), (part_id, n, misses, rate of the `worst` parts): target spans that don't stand in their sources.
+
+    spans: what spans_in_sources() gives; an empty span is no miss.
+    """
+    hit = ~F.col("en_ok")
+    rates = [F.count("*").alias("n"), F.count_if(hit).alias("misses")]
+    add = lambda df: df.withColumn("rate", F.round(F.col("misses") / F.greatest(F.col("n"), F.lit(1)), 6))
+    per = add(spans.where("part_id is not null").groupBy("part_id").agg(*rates)).where("misses > 0")
+    return add(spans.agg(*rates)), per.orderBy(F.desc("misses"), "part_id").limit(worst)
+
+
 def gates(pairs: DataFrame, sources: DataFrame) -> DataFrame:
     """part_id, pairs, longest_jp, longest_en, coverage, verdict: the first gate that fails, else ok.
 

@@ -88,6 +88,18 @@ def retrieved(hits: DataFrame, stages: list[list[str]], cap: int) -> DataFrame:
     return hits.orderBy(F.desc("score"), "q", "rank").limit(cap)
 
 
+def result_flags(hits: DataFrame, kinds: list[str]) -> DataFrame:
+    """One row: the hits of each kind, total, is_empty. hits: kind."""
+    out = hits.agg(*[F.count_if(F.col("kind") == k).alias(k) for k in kinds], F.count("*").alias("total"))
+    return out.withColumn("is_empty", F.col("total") == 0)
+
+
+def row_cosines(a: DataFrame, b: DataFrame, key: str, vector: str) -> DataFrame:
+    """key, cosine: the similarity of each row of one side and the same row of the other; rows that a side lacks are left out."""
+    other = b.select(key, F.col(vector).alias("_other"))
+    return a.select(key, vector).join(other, key).select(key, F.round(cosine(F.col(vector), F.col("_other")), 6).alias("cosine"))
+
+
 def outside(rows: DataFrame, parts: DataFrame, key: str) -> DataFrame:
     """Rows whose part isn't in the set; rows without part stay."""
     return rows.join(parts.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")

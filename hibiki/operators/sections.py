@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hibiki.functions import text as T
+from hibiki.functions.plan import guarded
+
+from . import notes, ranges
 
 
 def numbered_sections(docs: DataFrame, key: str, text: str, heading: str = r"(?m)^#{1,6}\s*(\d{1,2})[.):]?\s+([^\n]+)$", lowest: int = 1, highest: int = 16) -> DataFrame:
@@ -21,6 +24,19 @@ def numbered_sections(docs: DataFrame, key: str, text: str, heading: str = r"(?m
     return rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select(key, "number", "name", "body")
 
 
+def style_sections(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """key, number, name, file, body: the numbered sections under their canonical names, each with a heading of one form.
+
+    A document without any numbered section of the range is an error, so that it never replaces a profile.
+    """
+    rows = numbered_sections(docs, key, text)
+    name = notes.canonical_dimension(F.col("number"), F.col("name"))
+    body = T.trimmed(F.concat(F.format_string("## %d. ", F.col("number")), name, F.lit("\n\n"), F.col("body")))
+    out = rows.select(key, "number", name.alias("name"), notes.dimension_file(F.col("number"), name).alias("file"), body.alias("body"))
+    lacking = docs.select(key).join(rows.select(key), key, "left_anti").agg(F.count("*").alias("n"))
+    return guarded(out, lacking, F.col("n") == 0, "no numbered sections: the profile isn't replaced")
+
+
 def missing_numbers(sections: DataFrame, key: str, lowest: int = 1, highest: int = 16) -> DataFrame:
     """key, missing: the numbers of the range that a document lacks."""
     return sections.groupBy(key).agg(F.array_except(F.sequence(F.lit(lowest), F.lit(highest)), F.collect_set("number")).alias("missing"))
@@ -59,8 +75,8 @@ def token_prefix(docs: DataFrame, key: str, text: str, encode: Callable[[str], l
 
 
 def dialogue_turns(paras: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """group, run, first, lines: runs of neighbouring dialogue paragraphs."""
-    w = Window.partitionBy(*group).orderBy(*order)
-    d = paras.withColumn("_d", T.paragraph_kind("text") == "dialogue").withColumn("_starts", F.col("_d") & ~F.coalesce(F.lag("_d").over(w), F.lit(False)))
-    runs = d.withColumn("run", F.count_if("_starts").over(w.rowsBetween(Window.unboundedPreceding, 0))).where("_d")
+    """group, run, first, lines: runs of neighbouring dialogue paragraphs. The order starts with a number."""
+    d = paras.select(*group, *order, (T.paragraph_kind("text") == "dialogue").alias("_d"))
+    d = ranges.with_previous(d, group, order, F.col("_d"), "_p")
+    runs = ranges.with_running_count(d, group, order, F.col("_d") & ~F.coalesce("_p", F.lit(False)), "run").where("_d")
     return runs.groupBy(*group, "run").agg(F.min(order[0]).alias("first"), F.count("*").alias("lines"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -337,12 +339,32 @@ def q_chapter_references(spark, d):
     return table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"chapter (\d+)"), F.lit(1))).alias("chapter"))
 
 
-@query()
+# The alignment as recursion over diagonals: a cell is reached from cells one, two or three diagonals back, which are
+# carried along by their age; the best total wins, the earlier shape on a tie. Then the path is followed back.
+_SHAPE_ROWS = ", ".join(f"({k}, {a}, {b}, {math.log(p)!r}::DOUBLE)" for k, (a, b, p) in enumerate(align.SHAPES))
+_STEPS = (
+    f"{PARAS}, x AS (SELECT part_id, side, para_index, para_id, length({trimmed('text')}) AS n FROM para WHERE part_id IS NOT NULL AND side IN ('jp', 'en') AND {kind('text')} <> 'blank'), "
+    "g AS (SELECT part_id, side, count(*) AS c, list(n ORDER BY para_index, para_id) AS ns, list(para_index ORDER BY para_index, para_id) AS ix FROM x GROUP BY part_id, side), "
+    "u AS (SELECT part_id, side, c, ix, list_transform(range(0, c + 1), lambda k: list_sum(ns[1:k])) AS s0 FROM g), s AS (SELECT part_id, side, c, ix, list_transform(s0, lambda v: coalesce(v, 0)::DOUBLE) AS s FROM u), "
+    "dim AS (SELECT j.part_id, j.c AS n, e.c AS m, j.s AS sj, e.s AS se, j.ix AS xj, e.ix AS xe FROM s j JOIN s e ON j.part_id = e.part_id AND j.side = 'jp' AND e.side = 'en'), "
+    f"sh(k, a, b, prior) AS (VALUES {_SHAPE_ROWS}), "
+    "cell(part_id, d, i, f, k, age) AS (SELECT part_id, 0::BIGINT, 0::BIGINT, 0.0::DOUBLE, -1, 0 FROM dim UNION ALL ("
+    "WITH c AS (SELECT t.part_id, t.d + a + b AS d, t.i + a AS i, sh.k, t.f + CASE WHEN a * b = 0 THEN prior ELSE prior - pow(((se[t.d + a + b - t.i - a + 1] - se[t.d - t.i + 1]) - 2.77::DOUBLE * (sj[t.i + a + 1] - sj[t.i + 1])) / sqrt(13.0::DOUBLE * greatest(sj[t.i + a + 1] - sj[t.i + 1], 1.0)), 2) / 2 END AS f "
+    "FROM cell t JOIN sh ON a + b = t.age + 1 JOIN dim ON dim.part_id = t.part_id WHERE t.i + a <= n AND t.d + b - t.i <= m) "
+    "SELECT part_id, d, i, max(f), arg_max(k, (f, -k)), 0 FROM c GROUP BY part_id, d, i UNION ALL SELECT part_id, d, i, f, k, age + 1 FROM cell WHERE age < 2)), "
+    "best AS (SELECT part_id, i, d - i AS j, k FROM cell WHERE age = 0), "
+    "path(part_id, i, j, k) AS (SELECT best.part_id, i, j, k FROM best JOIN dim ON dim.part_id = best.part_id AND i = n AND j = m UNION ALL SELECT p.part_id, best.i, best.j, best.k FROM path p JOIN sh ON sh.k = p.k JOIN best ON best.part_id = p.part_id AND best.i = p.i - a AND best.j = p.j - b), "
+    "step AS (SELECT part_id, a || ':' || b AS shape, CASE WHEN a > 0 THEN xj[i - a + 1] END AS jp_from, CASE WHEN a > 0 THEN xj[i] END AS jp_to, CASE WHEN b > 0 THEN xe[j - b + 1] END AS en_from, CASE WHEN b > 0 THEN xe[j] END AS en_to, "
+    "CASE WHEN a * b = 0 THEN 0.0 ELSE round(exp(-pow(((se[j + 1] - se[j - b + 1]) - 2.77::DOUBLE * (sj[i + 1] - sj[i - a + 1])) / sqrt(13.0::DOUBLE * (sj[i + 1] - sj[i - a + 1])), 2) / 2), 6) END AS length_score FROM path JOIN sh USING (k) JOIN dim USING (part_id))"
+)
+
+
+@query(f"WITH RECURSIVE {_STEPS} SELECT * FROM step")
 def q_align_length_dp(spark, d):
     return align.aligned(_paras(spark, d))
 
 
-@query()
+@query(f"WITH RECURSIVE {_STEPS} SELECT shape, count(*) AS n FROM step GROUP BY shape")
 def q_align_shape_counts(spark, d):
     return align.shape_counts(align.aligned(_paras(spark, d)))
 

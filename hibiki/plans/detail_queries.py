@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hibiki.functions import text as T
-from hibiki.operators import audit, corpus, holdout, ledger, links, mining, notes, retrieve, scores
+from hibiki.operators import answers, audit, corpus, holdout, ledger, links, mining, notes, retrieve, scores, sections
 from hibiki.session import table
 
 from .corpus_queries import _IN, POVS, _entries
@@ -172,6 +172,47 @@ def q_span_inversions(spark, d):
     return audit.inversions(placed, ["part_id"], ["ph_id", "at"], "at")
 
 
+@query(f"WITH {_SOURCE} SELECT count(*) AS n, count(*) FILTER (NOT en_ok) AS misses, round(count(*) FILTER (NOT en_ok)::DOUBLE / greatest(count(*), 1), 6) AS rate FROM z")
+def q_span_misses(spark, d):
+    return audit.span_misses(_spans(spark, d), 8)[0]
+
+
+@query(f"WITH {_SOURCE}, g AS (SELECT part_id, count(*) AS n, count(*) FILTER (NOT en_ok) AS misses FROM z WHERE part_id IS NOT NULL GROUP BY part_id) SELECT *, round(misses::DOUBLE / n, 6) AS rate FROM g WHERE misses > 0 ORDER BY misses DESC, part_id LIMIT 8")
+def q_span_misses_worst(spark, d):
+    """The eight parts with the most missing spans: a report."""
+    return audit.span_misses(_spans(spark, d), 8)[1]
+
+
+CATEGORIES = [("set_phrase", "Set phrase", "fixed wording"), ("onomatopoeia", "Sound word", "sounds and moods"), ("register", "Register", "level of speech"), ("other", "Other", "anything else")]
+
+
+@query(
+    f"WITH {literal('reg', 'key, label, description', CATEGORIES)}, p AS (SELECT coalesce(reg.key, 'other') AS category FROM phrase_precedent LEFT JOIN reg ON lower(trim(category)) = reg.key) SELECT category, label, description, count(*) AS n FROM p JOIN reg ON reg.key = category GROUP BY ALL"
+)
+def q_category_labels(spark, d):
+    """Phrases by the category that a registry knows, with its label."""
+    reg = spark.createDataFrame(CATEGORIES, "key string, label string, description string")
+    return answers.registered(table(spark, d, "phrase_precedent").select("category"), "category", reg).groupBy("category", "label", "description").agg(F.count("*").alias("n"))
+
+
+PROFILE = [("d1", "intro\n## 2. the VOICE\nfirst\n## 1) tone of it\nsoft\n\n## 2. Voice again\n\nsecond\n## 40. none\nx"), ("d2", "# 16: other\nlast")]
+SECTIONS = [
+    ("d1", 1, "Tone", "01-tone.md", "## 1. Tone\n\nsoft"), ("d1", 2, "Voice", "02-voice.md", "## 2. Voice\n\nsecond"),
+    ("d2", 16, "Character voice differentiation", "16-character-voice-differentiation.md", "## 16. Character voice differentiation\n\nlast"),
+]
+
+
+@query(f"WITH {literal('s', 'doc, number, name, file, body', SECTIONS)} SELECT * FROM s")
+def q_style_sections(spark, d):
+    """Numbered sections of literal documents, against stored rows."""
+    return sections.style_sections(spark.createDataFrame(PROFILE, "doc string, text string"), "doc", "text")
+
+
+@query(f"WITH {_FOUND}, x AS (SELECT CASE WHEN score >= 0.8 THEN 'phrase' ELSE 'paragraph' END AS kind FROM h) SELECT count(*) FILTER (kind = 'phrase') AS phrase, count(*) FILTER (kind = 'paragraph') AS paragraph, count(*) AS total, count(*) = 0 AS is_empty FROM x")
+def q_result_flags(spark, d):
+    return retrieve.result_flags(_found(spark, d).select(F.when(F.col("score") >= 0.8, "phrase").otherwise("paragraph").alias("kind")), ["phrase", "paragraph"])
+
+
 @query(
     "WITH r AS (SELECT part_id, avg((length_score < 0.5)::INT) AS rate FROM precedent WHERE part_id IS NOT NULL AND length_score IS NOT NULL GROUP BY part_id) "
     "SELECT count(*) AS parts, round(avg(rate), 6) AS mean, round(quantile_cont(rate, 0.5), 6) AS median, round(max(rate), 6) AS max FROM r"

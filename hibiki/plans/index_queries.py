@@ -217,5 +217,4 @@ def q_index_shapes(spark, d):
 def q_neighbour_cosine(spark, d):
     """Row-wise similarity of each passage and the next: an equi-join and a built-in dot product."""
     v = table(spark, d, "precedent_embedding").where("size(embedding) = 96")
-    b = v.select((F.col("row_id") - 1).alias("row_id"), F.col("embedding").alias("other"))
-    return v.join(b, "row_id").select("row_id", F.round(retrieve.cosine(F.col("embedding"), F.col("other")), 6).alias("cosine"))
+    return retrieve.row_cosines(v, v.select((F.col("row_id") - 1).alias("row_id"), "embedding"), "row_id", "embedding")

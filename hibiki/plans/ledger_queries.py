@@ -144,7 +144,8 @@ def q_record_problems(spark, d):
 
 @query(
     f"WITH {ENTRIES}, c AS (SELECT 'unique_passages' AS name, count(*) = count(DISTINCT pr_id) AS passed FROM precedent UNION ALL SELECT 'vectors_for_passages', count(*) = 0 FROM precedent WHERE pr_id NOT IN (SELECT row_id FROM precedent_embedding) "
-    "UNION ALL SELECT 'parts_in_contents', count(*) = 0 FROM paragraphs WHERE part_id IS NOT NULL AND part_id NOT IN (SELECT id FROM entry) UNION ALL SELECT 'shares_sum_to_one', abs(sum(target_share) - 1) < 1e-9 FROM mix_target) "
+    "UNION ALL SELECT 'parts_in_contents', count(*) = 0 FROM paragraphs WHERE part_id IS NOT NULL AND part_id NOT IN (SELECT id FROM entry) UNION ALL SELECT 'shares_sum_to_one', abs(sum(target_share) - 1) < 1e-9 FROM mix_target UNION ALL SELECT 'glossary_loads', count(english) > 0 FROM glossary "
+    "UNION ALL SELECT 'index_is_not_empty', count(*) > 0 FROM precedent UNION ALL SELECT 'plans_name_no_part_twice', count(*) = count(DISTINCT p) FROM (SELECT unnest(part_ids) AS p FROM holdout) UNION ALL SELECT 'one_target_a_source', count(*) = count(DISTINCT source) FROM mix_target) "
     "SELECT name, passed, bool_and(passed) OVER () AS overall FROM c"
 )
 def q_vault_checks(spark, d):
@@ -159,6 +160,10 @@ def q_vault_checks(spark, d):
             ("unique_passages", none(repeated)),
             ("vectors_for_passages", none(p.join(v, "pr_id", "left_anti"))),
             ("parts_in_contents", none(para.join(entries, "part_id", "left_anti"))),
+            ("glossary_loads", table(spark, d, "glossary").agg((F.count("english") > 0).alias("passed"))),
+            ("index_is_not_empty", p.agg((F.count("*") > 0).alias("passed"))),
+            ("plans_name_no_part_twice", none(table(spark, d, "holdout").select(F.explode("part_ids").alias("p")).groupBy("p").agg(F.count("*").alias("n")).where("n > 1"))),
+            ("one_target_a_source", none(table(spark, d, "mix_target").groupBy("source").agg(F.count("*").alias("n")).where("n > 1"))),
             ("shares_sum_to_one", table(spark, d, "mix_target").agg((F.abs(F.sum("target_share") - 1) < 1e-9).alias("passed"))),
         ]
     )

@@ -100,6 +100,19 @@ def test_profiles_and_chapters(spark):
     assert [r[0] for r in s.select(notes.chapter_of(F.col("s"))).collect()] == ["011", "000", "000"]
 
 
+def test_a_profile_without_sections_is_an_error(spark):
+    from hibiki.operators import answers, sections
+
+    df = spark.createDataFrame([("a", "## 1. x\ny"), ("b", "nothing")], "doc string, text string")
+    with pytest.raises(Exception, match="no numbered sections"):
+        sections.style_sections(df, "doc", "text").collect()
+    reg = spark.createDataFrame([("tense", "T", "d"), ("other", "O", "e")], "key string, label string, description string")
+    rows = spark.createDataFrame([(" Tense",), ("x",), (None,)], "category string")
+    assert [tuple(r) for r in answers.registered(rows, "category", reg).orderBy("label").collect()] == [("other", "O", "e"), ("other", "O", "e"), ("tense", "T", "d")]
+    assert answers.described(reg).first()["text"] == "- other: e\n- tense: d"
+    assert retrieve.result_flags(rows.limit(0).select(F.col("category").alias("kind")), ["a"]).first()["is_empty"]
+
+
 def test_the_revision_loop(spark):
     drafts = spark.createDataFrame([("a", "xxx"), ("b", "ok"), ("c", "xxxxxxx")], "id string, draft string")
 

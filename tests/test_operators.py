@@ -283,3 +283,19 @@ def test_a_hot_part_is_numbered_in_ranges(spark):
     used = spark.createDataFrame([("p", 5)], "part string, n int")
     got = {r["k"]: r["n"] for r in toc.sequence_ids(new, used, "part", ["k"], "n").where("part = 'p'").collect()}
     assert [got[i] for i in range(0, 60_000, 7)] == list(range(6, 6 + len(got)))
+
+
+def test_windows_in_ranges_equal_plain_windows(spark):
+    from pyspark.sql import Window
+
+    from hibiki.operators import ranges
+
+    r = random.Random(6)
+    rows = [(r.choice(["a", "a", "b", None]), r.choice([None, *range(0, 400, 3)]), i, r.choice([None, 1, 2, 3])) for i in range(600)]
+    df = spark.createDataFrame(rows, "g string, o int, k int, v int")
+    w = Window.partitionBy("g").orderBy("o", "k")
+    got = {x["k"]: x["p"] for x in ranges.with_previous(df, ["g"], ["o", "k"], F.col("v"), "p", 50).collect()}
+    assert got == {x["k"]: x["p"] for x in df.withColumn("p", F.lag("v").over(w)).collect()}
+    got = {x["k"]: x["n"] for x in ranges.with_running_count(df, ["g"], ["o", "k"], F.col("v") > 1, "n", 50).collect()}
+    assert got == {x["k"]: x["n"] for x in df.withColumn("n", F.count_if(F.col("v") > 1).over(w.rowsBetween(Window.unboundedPreceding, 0))).collect()}
+    assert ranges.with_previous(df.limit(0), ["g"], ["o"], F.col("v"), "p").count() == 0
