@@ -40,6 +40,8 @@ ESCAPES = [
 ]
 
 SPACE = r"[\s\p{Z}\x{FEFF}]"
+# The same as characters, for trims, which look at the end only.
+WHITE = "".join(map(chr, [*range(9, 14), 0x20, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0xFEFF]))
 CLOSERS = "\"”’')]」』）" + QUOTE
 # What ends a sentence, and what says that a text goes on.
 ENDS = (".", "!", "?", "。", "！", "？", "؟", "।")
@@ -60,7 +62,7 @@ def _ends(c: Column) -> tuple[Column, Column]:
 
 def _prepared(text: Column) -> dict[str, Column]:
     """The columns a judgement needs; each is one pass over the text."""
-    tail = F.regexp_replace(text, rf"{SPACE}++$", "")
+    tail = F.rtrim(text, F.lit(WHITE))
     # an escape becomes one character of the size of what it stands for, so that a quote is a quote and bytes are bytes
     plain = tail
     for escape, stand_in in ESCAPES:
@@ -125,7 +127,7 @@ def measured(shaped: DataFrame) -> DataFrame:
     whole = F.array(F.struct(F.lit("").alias("f"), F.col("_text").alias("v"))).cast(item)
     items = F.when(F.col("_json"), F.concat(whole, pairs)).otherwise(whole)
     out = shaped.where(F.col("_tail") != "").select("_id", "_src", "_complete", "_cut_end", F.posexplode(items).alias("k", "p"))
-    out = once(out, {"_end": F.when(F.col("k") > 0, F.regexp_replace("p.v", rf"{SPACE}++$", ""))})
+    out = once(out, {"_end": F.when(F.col("k") > 0, F.rtrim(F.col("p.v"), F.lit(WHITE)))})
     inside, _ = _ends(F.col("_end"))
     return out.select(
         "_id", "_src", F.when(F.col("k") == 0, "").otherwise(F.concat(F.lit("."), "p.f")).alias("field"), F.length("p.v").alias("chars"), F.octet_length("p.v").alias("bytes"),
