@@ -29,6 +29,7 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import DataFrame
@@ -104,16 +105,46 @@ def _rarity(texts: DataFrame) -> dict[tuple[str, int], int]:
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: Counter = Counter()
+        total = np.zeros((0x110000, OCCURRENCES), np.int64)
         for pdf in batches:
-            for s in pdf["canon"]:
-                for c, n in Counter(s).items():
-                    for k in range(1, min(n, OCCURRENCES) + 1):
-                        total[c, k] += 1
-        yield pd.DataFrame([(c, k, n) for (c, k), n in total.items()], columns=["c", "k", "n"])
-
-    counted = texts.select("canon").mapInPandas(count, "c string, k int, n long").groupBy("c", "k").agg(F.sum("n").alias("n"))
-    return {(r["c"], r["k"]): r["n"] for r in counted.toLocalIterator()}
+            doc, cp, _ = _points(pdf["canon"])
+            _, cp, k = _occurrences(doc, cp)
+            for i in range(OCCURRENCES):
+                total[:, i] += np.bincount(cp[k == i + 1], minlength=0x110000)
+        c, k = np.nonzero(total)
+        yield pd.DataFrame({"c": c, "k": k + 1, "n": total[c, k]})
+
+    counted = texts.select("canon").mapInPandas(count, "c long, k int, n long").groupBy("c", "k").agg(F.sum("n").alias("n"))
+    return {(chr(r["c"]), r["k"]): r["n"] for r in counted.toLocalIterator()}
+
+
+def _points(texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, code point) of every character of a batch, and the texts' lengths."""
+    each = [np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype="<u4") for s in texts]
+    size = np.array([len(x) for x in each], np.int64)
+    return np.repeat(np.arange(len(each)), size), np.concatenate([*each, np.zeros(0, "<u4")]).astype(np.int64), size
+
+
+def _occurrences(doc: np.ndarray, cp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """text, code point and number of the occurrence of every character, ordered by text and code point."""
+    order = np.lexsort((cp, doc))
+    doc, cp = doc[order], cp[order]
+    at = np.arange(len(cp))
+    first = np.ones(len(cp), bool)
+    first[1:] = (doc[1:] != doc[:-1]) | (cp[1:] != cp[:-1])
+    return doc, cp, at - np.maximum.accumulate(np.where(first, at, 0)) + 1
+
+
+def prefixes(texts: pd.Series, ranks: np.ndarray, share: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """text, code point, occurrence and count of what prefix() gives, for a batch of texts. ranks: counts by code point and occurrence."""
+    doc, cp, size = _points(texts)
+    doc, cp, k = _occurrences(doc, cp)
+    rank = ranks[cp, np.minimum(k, OCCURRENCES) - 1]
+    order = np.lexsort((k, cp, rank, doc))
+    doc, cp, k, rank = doc[order], cp[order], k[order], rank[order]
+    place = np.arange(len(doc)) - np.repeat(np.cumsum(size) - size, size)
+    ok = place < np.repeat(size - np.ceil(share * size - 1e-9).astype(np.int64) + 1, size)
+    return doc[ok], cp[ok], k[ok], rank[ok]
 
 
 def _filed(classes: DataFrame, rarity, share: float, least: int, train: bool) -> DataFrame:
@@ -123,25 +154,31 @@ def _filed(classes: DataFrame, rarity, share: float, least: int, train: bool) ->
     words = [f"w{i}" for i in range(WORDS)]
 
     def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ranks = rarity.value
+        ranks = np.zeros((0x110000, OCCURRENCES), np.int64)
+        for (c, k), n in rarity.value.items():
+            ranks[ord(c), k - 1] = n
         for pdf in batches:
-            out = []
-            for cls, s in zip(pdf["cls"], pdf["canon"]):
-                n = len(s)
-                if n / share < least - 1e-9:
-                    continue
-                bits = 0
-                for c in set(s):
-                    bits |= 1 << (ord(c) * 2654435761 >> 7) % (64 * WORDS)
-                w = [(bits >> 64 * i & (1 << 64) - 1) for i in range(WORDS)]
-                w = [x - (1 << 64) if x >> 63 else x for x in w]
-                lowest, highest = math.ceil(share * n - 1e-9), math.floor(n / share + 1e-9)
-                own, low, high = band(n, share), band(max(1, lowest), share), band(highest, share)
-                for c, k in prefix(s, ranks, share):
-                    pieces = 1 + ranks.get((c, min(k, OCCURRENCES)), 0) // PIECE
-                    for piece in [cls % pieces] if train else range(pieces):
-                        out.append((ord(c) << 20 | min(k, (1 << 20) - 1), piece, own, low, high, cls, n, *w))
-            yield pd.DataFrame(out, columns=["key", "piece", "band", "low", "high", "cls", "n", *words]).astype("int64")
+            pdf = pdf[pdf["canon"].str.len() / share >= least - 1e-9]
+            if not len(pdf):
+                continue
+            doc, cp, size = _points(pdf["canon"])
+            bits = np.zeros((len(pdf), WORDS), np.uint64)
+            own = np.unique(doc << 21 | cp)
+            place = ((own & 0x1FFFFF) * 2654435761 >> 7) % (64 * WORDS)
+            np.bitwise_or.at(bits, (own >> 21, place // 64), np.uint64(1) << (place % 64).astype(np.uint64))
+            doc, cp, k, rank = prefixes(pdf["canon"], ranks, share)
+            pieces = 1 + rank // PIECE
+            cls = pdf["cls"].to_numpy()
+            if train:
+                piece = cls[doc] % pieces
+            else:
+                at = np.repeat(np.arange(len(doc)), pieces)
+                piece = np.arange(len(at)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                doc, cp, k = doc[at], cp[at], k[at]
+            in_band = lambda n: np.floor(np.log(n) / -math.log(share) + 1e-9).astype(np.int64)
+            low, high = in_band(np.maximum(1, np.ceil(share * size - 1e-9))), in_band(np.floor(size / share + 1e-9))
+            out = {"key": cp << 20 | np.minimum(k, (1 << 20) - 1), "piece": piece, "band": in_band(size)[doc], "low": low[doc], "high": high[doc], "cls": cls[doc], "n": size[doc]}
+            yield pd.DataFrame(out | {w: bits[doc, i].view(np.int64) for i, w in enumerate(words)})
 
     return classes.select("cls", "canon").mapInPandas(file, "key long, piece long, band long, low long, high long, cls long, n long, " + ", ".join(f"{w} long" for w in words))
 

@@ -39,6 +39,23 @@ def test_the_prefix_loses_no_pair():
             assert set(overlap.prefix(a, rarity)) & set(overlap.prefix(b, rarity))
 
 
+def test_prefixes_of_a_batch_are_those_of_each_text():
+    import pandas as pd
+
+    r = random.Random(9)
+    letters = "あいうえおabc😀"
+    texts = ["".join(r.choice(letters) for _ in range(r.randrange(1, 40))) for _ in range(50)] + ["a" * 30, ""]
+    rarity = {(c, k): r.randrange(6) for c in letters for k in range(1, overlap.OCCURRENCES + 1)}
+    ranks = np.zeros((0x110000, overlap.OCCURRENCES), np.int64)
+    for (c, k), n in rarity.items():
+        ranks[ord(c), k - 1] = n
+    doc, cp, k, rank = overlap.prefixes(pd.Series(texts), ranks, 0.85)
+    for i, t in enumerate(texts):
+        want = overlap.prefix(t, rarity) if t else []
+        assert [(chr(c), n) for c, n in zip(cp[doc == i], k[doc == i])] == want
+        assert [rarity[c, min(n, overlap.OCCURRENCES)] for c, n in want] == list(rank[doc == i])
+
+
 def records(seed=3):
     r = random.Random(seed)
     words = ["雨", "カバン", "学校", "机", "走った", "歩いた", "買った", "梶", "瀬名", "駅前", "古い", "新しい", "で", "を", "に", "は"]
