@@ -26,6 +26,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -231,13 +232,13 @@ def learn(texts: DataFrame, column: str) -> dict[str, str]:
     """The rewriting rules of a corpus. Symbols are counted in every partition first."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: Counter[str] = Counter()
+        points, pairs = np.zeros(0x110000, np.int64), Counter()
         for pdf in batches:
-            for s in pdf["t"]:
-                total.update(s)
-                for pair in PAIR.findall(s):
-                    if len(form(pair)) == 1:
-                        total[pair] += 1
+            whole = "\n".join(pdf["t"])
+            points += np.bincount(np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), dtype="<u4"), minlength=0x110000)
+            points[10] -= max(0, len(pdf) - 1)  # the joins
+            pairs.update(PAIR.findall(whole))
+        total = {chr(i): int(points[i]) for i in np.flatnonzero(points)} | {p: n for p, n in pairs.items() if len(form(p)) == 1}
         yield pd.DataFrame(list(total.items()), columns=["s", "n"]).astype({"s": "object", "n": "int64"})
 
     counted = texts.select(F.col(column).alias("t")).where(F.col("t").isNotNull()).mapInPandas(count, "s string, n long").groupBy("s").agg(F.sum("n").alias("n"))
@@ -264,22 +265,27 @@ def same_to_the_eye(df: DataFrame, keys: list[str], row_id: str, text: str, cano
     Distinct texts are paired first, within classes that have several; rows are
     joined only to these pairs, so a class of copies costs nothing.
     """
-    rows = df.where(F.col(text).isNotNull()).select(*keys, F.col(row_id).alias("id"), F.col(text).alias("t"), F.col(canonical).alias("c")).distinct()
+    # texts and forms go on as hashes of 128 bits
+    rows = df.where(F.col(text).isNotNull()).select(*keys, F.col(row_id).alias("id"), _hashed(text).alias("t"), _hashed(canonical).alias("c")).distinct()
     variants = rows.groupBy(*keys, "c", "t").agg(F.lit(1).alias("one"))
     several = variants.groupBy(*keys, "c").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     variants = variants.join(several, [*keys, "c"], "left_semi").select(*keys, "c", "t")
     pairs = variants.withColumnRenamed("t", "ta").join(variants.withColumnRenamed("t", "tb"), [*keys, "c"]).where("ta < tb").select(*keys, "ta", "tb")
-    ids = rows.select(*keys, "id", "t")
+    ids = rows.select(*keys, "id", "t").join(variants.select(*keys, "t"), [*keys, "t"], "left_semi")
     out = pairs.join(ids.withColumnRenamed("t", "ta").withColumnRenamed("id", "a"), [*keys, "ta"]).join(ids.withColumnRenamed("t", "tb").withColumnRenamed("id", "b"), [*keys, "tb"])
     return out.where("a != b").select(*keys, F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).distinct()
 
 
+def _hashed(x: str):
+    return F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b"))
+
+
 def eye_classes(df: DataFrame, keys: list[str], row_id: str, text: str, canonical: str) -> DataFrame:
     """keys, id, class_id, variants, links: every row's class of like-looking texts (named by its smallest id), the class's
     number of different texts, and the rows whose text differs from the row's and looks the same. No pairs are made.
     """
-    rows = df.where(F.col(text).isNotNull()).select(*keys, F.col(row_id).alias("id"), F.xxhash64(text).alias("t"), F.xxhash64(canonical).alias("c"), F.xxhash64(F.lit(1), canonical).alias("c2")).distinct()
-    per_text = rows.groupBy(*keys, "c", "c2", "t").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    per_class = per_text.groupBy(*keys, "c", "c2").agg(F.min("first").alias("class_id"), F.count("*").alias("variants"), F.sum("n").alias("all"))
-    sized = per_text.join(per_class, [*keys, "c", "c2"]).select(*keys, "c", "c2", "t", "class_id", "variants", (F.col("all") - F.col("n")).alias("links"))
-    return rows.join(sized, [*keys, "c", "c2", "t"]).select(*keys, "id", "class_id", "variants", "links")
+    rows = df.where(F.col(text).isNotNull()).select(*keys, F.col(row_id).alias("id"), _hashed(text).alias("t"), _hashed(canonical).alias("c")).distinct()
+    per_text = rows.groupBy(*keys, "c", "t").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    per_class = per_text.groupBy(*keys, "c").agg(F.min("first").alias("class_id"), F.count("*").alias("variants"), F.sum("n").alias("all"))
+    sized = per_text.join(per_class, [*keys, "c"]).select(*keys, "c", "t", "class_id", "variants", (F.col("all") - F.col("n")).alias("links"))
+    return rows.join(sized, [*keys, "c", "t"]).select(*keys, "id", "class_id", "variants", "links")
