@@ -11,11 +11,11 @@ from hibiki.functions import text as T
 RATIO_MIN, RATIO_MAX, WARN_BELOW, WARN_ABOVE = 1.85, 2.94, 0.85, 1.15
 DIALOGUE_SKEW, NAME_WARN, NAME_FAIL, MARGIN = 0.107, 0.65, 0.90, 0.10
 ORDER = {"pass": 0, "warn": 1, "fail": 2}
-#: (source form, target forms): which names are followed.
-NAMES = [("柊", ["Hiiragi-san", "Hiiragi"]), ("鳴海", ["Narumi"])]
+#: Which names are followed: (source form, target forms) of each.
+Names = list[tuple[str, list[str]]]
 
 
-def measures(paras: DataFrame, names: list[tuple[str, list[str]]] = NAMES) -> DataFrame:
+def measures(paras: DataFrame, names: Names) -> DataFrame:
     """One row a part: visible characters, dialogue marks and name counts of both sides.
 
     Every measure is a sum over paragraphs, so nothing is put together into whole
@@ -65,19 +65,19 @@ def dialogue_status(most: float = DIALOGUE_SKEW) -> Column:
     return F.when(F.coalesce(dialogue_skew(), F.lit(0.0)) <= most, "pass").otherwise("fail")
 
 
-def name_skews(measured: DataFrame, names: list[tuple[str, list[str]]] = NAMES) -> DataFrame:
+def name_skews(measured: DataFrame, names: Names) -> DataFrame:
     """part_id, name, jp_n, en_n, skew; a name that neither side has is left out."""
     each = F.array(*[F.struct(F.lit(a).alias("name"), F.col(f"jp_name{i}").alias("jp_n"), F.col(f"en_name{i}").alias("en_n")) for i, (a, _) in enumerate(names)])
     rows = measured.select("part_id", F.explode(each).alias("r")).select("part_id", "r.*").where("jp_n > 0 or en_n > 0")
     return rows.withColumn("skew", F.abs(F.col("jp_n") - F.col("en_n")) / F.greatest("jp_n", "en_n", F.lit(1)))
 
 
-def worst_name_skew(names: list[tuple[str, list[str]]] = NAMES) -> Column:
+def worst_name_skew(names: Names) -> Column:
     one = [F.when((F.col(f"jp_name{i}") > 0) | (F.col(f"en_name{i}") > 0), F.abs(F.col(f"jp_name{i}") - F.col(f"en_name{i}")) / F.greatest(f"jp_name{i}", f"en_name{i}", F.lit(1))) for i in range(len(names))]
     return F.greatest(*one) if len(one) > 1 else one[0]
 
 
-def name_status(names: list[tuple[str, list[str]]] = NAMES) -> Column:
+def name_status(names: Names) -> Column:
     s = F.coalesce(worst_name_skew(names), F.lit(0.0))
     return F.when(s > NAME_FAIL, "fail").when(s > NAME_WARN, "warn").otherwise("pass")
 
@@ -88,20 +88,20 @@ def worst(*statuses: Column) -> Column:
     return back[F.greatest(*[rank[s] for s in statuses])]
 
 
-def validated(measured: DataFrame) -> DataFrame:
+def validated(measured: DataFrame, names: Names) -> DataFrame:
     """part_id, the three statuses and the worst of them."""
-    out = measured.select("part_id", ratio_status().alias("length"), dialogue_status().alias("dialogue"), name_status().alias("names"))
+    out = measured.select("part_id", ratio_status().alias("length"), dialogue_status().alias("dialogue"), name_status(names).alias("names"))
     return out.withColumn("overall", worst(F.col("length"), F.col("dialogue"), F.col("names")))
 
 
-def metrics(measured: DataFrame) -> DataFrame:
+def metrics(measured: DataFrame, names: Names) -> DataFrame:
     """metric, value: the measures unpivoted; those that a part lacks are left out."""
     each = F.array(
         F.struct(F.lit("length_ratio").alias("metric"), length_ratio().alias("value")),
         F.struct(F.lit("dialogue_skew").alias("metric"), dialogue_skew().alias("value")),
         *[
             F.struct(F.lit(f"name_skew_{i}").alias("metric"), F.when((F.col(f"jp_name{i}") > 0) | (F.col(f"en_name{i}") > 0), F.abs(F.col(f"jp_name{i}") - F.col(f"en_name{i}")) / F.greatest(f"jp_name{i}", f"en_name{i}", F.lit(1))).alias("value"))
-            for i in range(len(NAMES))
+            for i in range(len(names))
         ],
     )
     return measured.select(F.explode(each).alias("m")).select("m.*").where("value is not null")
@@ -115,6 +115,15 @@ def distribution(values: DataFrame) -> DataFrame:
     return out.select("metric", "n", *[F.round(c, 6).alias(c) for c in ("mean", "stdev", "min")], *[F.round(F.col("q")[i], 6).alias(n) for i, n in enumerate(names)], F.round("max", 6).alias("max"))
 
 
+def recommendations(dist: DataFrame, margin: float = MARGIN) -> DataFrame:
+    """length_min, length_max, dialogue_max: one row; fixed defaults stand in for what nothing was measured of."""
+    of = lambda metric, q: F.max(F.when(F.col("metric") == metric, F.col(q)))
+    return dist.agg(
+        F.coalesce(F.round(of("length_ratio", "p05") * (1 - margin), 2), F.lit(1.0)).alias("length_min"), F.coalesce(F.round(of("length_ratio", "p95") * (1 + margin), 2), F.lit(3.0)).alias("length_max"),
+        F.coalesce(F.round(of("dialogue_skew", "p95"), 3), F.lit(0.1)).alias("dialogue_max"),
+    )
+
+
 def recommended(dist: DataFrame, margin: float = MARGIN) -> DataFrame:
     """metric, low, high: the quantile band widened by the margin."""
     return dist.select("metric", F.round(F.col("p05") * (1 - margin), 6).alias("low"), F.round(F.col("p95") * (1 + margin), 6).alias("high"))

@@ -15,6 +15,7 @@ from .registry import COUNTS, ENTRIES, PARAS, WS, count_of, kind, query, squeeze
 
 POVS = ["hiiragi", "narumi", "both"]
 STRATA = ["hiiragi", "narumi"]
+NAMES = [("柊", ["Hiiragi-san", "Hiiragi"]), ("鳴海", ["Narumi"])]
 _IN = "('hiiragi', 'narumi', 'both')"
 
 
@@ -31,7 +32,7 @@ def _counts(spark, d) -> DataFrame:
 
 
 def _measures(spark, d) -> DataFrame:
-    return validate.measures(_paras(spark, d))
+    return validate.measures(_paras(spark, d), NAMES)
 
 
 @query(f"WITH {ENTRIES} SELECT id, part_number, pov FROM entry WHERE kind = 'part' AND part_number IS NOT NULL AND pov IN {_IN}")
@@ -62,7 +63,7 @@ def _measure_sql() -> str:
     marks = {"open": "「", "close": "」", "lq": "“", "rq": "”", "dq": '"'}
     cols = ["count(*) FILTER (side = 'jp') jp_rows", "count(*) FILTER (side = 'en') en_rows", total("jp", visible(t), "jp_chars"), total("en", visible(t), "en_chars")]
     cols += [total("jp", count_of(t, marks[m]), f"jp_{m}") for m in ("open", "close")] + [total("en", count_of(t, c), f"en_{m}") for m, c in marks.items()]
-    for i, (a, b) in enumerate(validate.NAMES):
+    for i, (a, b) in enumerate(NAMES):
         cols += [total("jp", count_of(t, a), f"jp_name{i}"), total("en", " + ".join(count_of(t, x) for x in b), f"en_name{i}")]
     return (
         f"{PARAS}, s AS (SELECT part_id, {', '.join(cols)} FROM para WHERE part_id IS NOT NULL GROUP BY part_id), "
@@ -100,7 +101,7 @@ def q_dialogue_parity(spark, d):
     "SELECT part_id, name, jp_n, en_n, round(abs(jp_n - en_n)::DOUBLE / greatest(jp_n, en_n, 1), 6) AS skew FROM r WHERE jp_n > 0 OR en_n > 0"
 )
 def q_name_frequency(spark, d):
-    return validate.name_skews(_measures(spark, d)).withColumn("skew", F.round("skew", 6))
+    return validate.name_skews(_measures(spark, d), NAMES).withColumn("skew", F.round("skew", 6))
 
 
 @query(
@@ -108,7 +109,7 @@ def q_name_frequency(spark, d):
     "SELECT *, CASE WHEN 'fail' IN (length, dialogue, names) THEN 'fail' WHEN 'warn' IN (length, dialogue, names) THEN 'warn' ELSE 'pass' END AS overall FROM v"
 )
 def q_validate_all(spark, d):
-    return validate.validated(_measures(spark, d))
+    return validate.validated(_measures(spark, d), NAMES)
 
 
 _METRICS = f"{MEASURES}, v AS (SELECT 'length_ratio' AS metric, {_RATIO} AS value FROM m UNION ALL SELECT 'dialogue_skew', {_SKEW} FROM m UNION ALL SELECT 'name_skew_0', {_name_skew(0)} FROM m UNION ALL SELECT 'name_skew_1', {_name_skew(1)} FROM m)"
@@ -121,12 +122,20 @@ _DIST = (
 
 @query(f"WITH {_DIST} SELECT * FROM d")
 def q_calibrate(spark, d):
-    return validate.distribution(validate.metrics(_measures(spark, d)))
+    return validate.distribution(validate.metrics(_measures(spark, d), NAMES))
 
 
 @query(f"WITH {_DIST} SELECT metric, round(p05 * 0.9::DOUBLE, 6) AS low, round(p95 * 1.1::DOUBLE, 6) AS high FROM d")
 def q_calibrate_recommend(spark, d):
-    return validate.recommended(validate.distribution(validate.metrics(_measures(spark, d))))
+    return validate.recommended(validate.distribution(validate.metrics(_measures(spark, d), NAMES)))
+
+
+@query(
+    f"WITH {_DIST} SELECT coalesce(round(max(p05) FILTER (metric = 'length_ratio') * 0.9::DOUBLE, 2), 1.0) AS length_min, coalesce(round(max(p95) FILTER (metric = 'length_ratio') * 1.1::DOUBLE, 2), 3.0) AS length_max, "
+    "coalesce(round(max(p95) FILTER (metric = 'dialogue_skew'), 3), 0.1) AS dialogue_max FROM d"
+)
+def q_recommendations(spark, d):
+    return validate.recommendations(validate.distribution(validate.metrics(_measures(spark, d), NAMES)))
 
 
 @query(f"WITH {ENTRIES} SELECT coalesce(pov, 'unknown') AS pov, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (), 6) AS share FROM entry WHERE kind = 'part' GROUP BY 1")

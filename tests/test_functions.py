@@ -60,23 +60,26 @@ def test_unfenced(spark):
     assert one(spark, T.unfenced("x"), 'Here: {"a": {"b": 1}} done') == '{"a": {"b": 1}}'
 
 
+NAMES = [("柊", ["Hiiragi-san", "Hiiragi"]), ("鳴海", ["Narumi"])]
+
+
 def measured(spark, jp, en):
     rows = [Row(part_id="p", side="jp", text=jp), Row(part_id="p", side="en", text=en)]
-    return validate.measures(spark.createDataFrame(rows, "part_id string, side string, text string"))
+    return validate.measures(spark.createDataFrame(rows, "part_id string, side string, text string"), NAMES)
 
 
 def test_ratio_bands(spark):
     for n, status in ((200, "pass"), (160, "warn"), (330, "warn"), (100, "fail"), (400, "fail")):
-        assert validate.validated(measured(spark, "あ" * 100, "a" * n)).first()["length"] == status, n
-    assert validate.validated(measured(spark, "", "a")).first()["length"] == "warn"
+        assert validate.validated(measured(spark, "あ" * 100, "a" * n), NAMES).first()["length"] == status, n
+    assert validate.validated(measured(spark, "", "a"), NAMES).first()["length"] == "warn"
 
 
 def test_dialogue_and_names(spark):
     m = measured(spark, "「a」" * 10, "“a”" * 9)
-    assert validate.validated(m).first()["dialogue"] == "pass"
+    assert validate.validated(m, NAMES).first()["dialogue"] == "pass"
     assert m.select(validate.dialogue_skew()).first()[0] == 0.1
     assert measured(spark, "a", "b").select(validate.dialogue_skew()).first()[0] is None
-    rows = validate.name_skews(measured(spark, "柊" * 4, "Hiiragi-san")).collect()
+    rows = validate.name_skews(measured(spark, "柊" * 4, "Hiiragi-san"), NAMES).collect()
     assert [(r["name"], r["jp_n"], r["en_n"], r["skew"]) for r in rows] == [("柊", 4, 2, 0.5)]
 
 
@@ -85,3 +88,4 @@ def test_distribution_of_nothing_and_one(spark):
     r = validate.distribution(v).first()
     assert (r["n"], r["mean"], r["stdev"], r["p95"]) == (1, 2.0, 0.0, 2.0)
     assert validate.distribution(v.limit(0)).count() == 0
+    assert tuple(validate.recommendations(validate.distribution(v.limit(0))).first()) == (1.0, 3.0, 0.1)
