@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hibiki.functions import text as T
 from hibiki.operators import answers, audit, corpus, ledger, retrieve
-from hibiki.session import table
+from hibiki.session import spread, table
 
 from .registry import COUNTS, ENTRIES, PARAS, WS, query, squeezed, visible
 
@@ -162,7 +162,7 @@ _CATS = "('set_phrase', 'onomatopoeia', 'facial_idiom', 'register', 'restructure
     "FROM p WHERE trim(p ->> '$.jp_span') <> '' AND trim(p ->> '$.en_span') <> ''"
 )
 def q_json_payload(spark, d):
-    return answers.phrases(table(spark, d, "raw_cache"), ["raw_id"], "raw_response")
+    return answers.phrases(spread(table(spark, d, "raw_cache").select("raw_id", "raw_response")), ["raw_id"], "raw_response")
 
 
 @query(
@@ -171,7 +171,7 @@ def q_json_payload(spark, d):
     "CASE WHEN lower(trim(p ->> '$.risk_level')) IN ('low', 'medium', 'high') THEN lower(trim(p ->> '$.risk_level')) ELSE 'medium' END AS risk_level FROM p WHERE trim(p ->> '$.jp_span') <> ''"
 )
 def q_json_risks(spark, d):
-    return answers.risks(table(spark, d, "raw_cache"), ["raw_id"], "raw_response")
+    return answers.risks(spread(table(spark, d, "raw_cache").select("raw_id", "raw_response")), ["raw_id"], "raw_response")
 
 
 @query(

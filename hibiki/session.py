@@ -55,3 +55,18 @@ def cut(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def tasks(spark: SparkSession) -> int:
+    """How many tasks a costly step is spread over: as many as a shuffle has, two a core at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A table whose rows each cost much time, over all cores: few small files are few tasks otherwise.
+
+    To be used on a scan, whose partitions are known without running anything; a
+    scan that has a partition a core stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(2 * cores) if scan.rdd.getNumPartitions() < cores else scan
