@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hibiki.session import cut, table
+from hibiki.session import cut, spread, table
 
 from . import alignment, lookalike, mixture, neighbours, overlap, packing, quality, sentences, tokens, truncation
 from .sql import ORACLE  # noqa: F401
@@ -45,8 +45,8 @@ def p1_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sentence_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """tbl, row_id, start_pos, end_pos, unit over both tables; repeated deliveries count once."""
-    para = table(spark, sf_dir, "paragraphs").select(F.lit("paragraphs").alias("tbl"), F.col("para_id").alias("row_id"), "text")
-    prec = table(spark, sf_dir, "precedent").select(F.lit("precedent").alias("tbl"), F.col("pr_id").alias("row_id"), F.col("jp_text").alias("text"))
+    para = spread(table(spark, sf_dir, "paragraphs").select(F.lit("paragraphs").alias("tbl"), F.col("para_id").alias("row_id"), "text"))
+    prec = spread(table(spark, sf_dir, "precedent").select(F.lit("precedent").alias("tbl"), F.col("pr_id").alias("row_id"), F.col("jp_text").alias("text")))
     return sentences.units(para.unionByName(prec), "text", ["tbl", "row_id"])
 
 
@@ -222,7 +222,8 @@ def p6_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _sized(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, source, tokens: counted once, written, read as often as needed."""
-    return cut(tokens.with_tokens(table(spark, sf_dir, "documents"), ["doc_id", "source"], "text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return cut(tokens.with_tokens(docs, ["doc_id", "source"], "text"))
 
 
 def _packed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -291,7 +292,8 @@ def p8_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and p_junk of all documents; the trees learn from paragraphs that are marked as prose."""
     prose = table(spark, sf_dir, "paragraphs").where("kind in ('narration', 'dialogue')").select("text")
-    return quality.statistics(table(spark, sf_dir, "documents"), "doc_id", "text", quality.trained(prose, "text"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return quality.statistics(docs, "doc_id", "text", quality.trained(prose, "text"))
 
 
 @query

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hibiki.functions.plan import once
-from hibiki.session import cut
+from hibiki.session import cut, spread
 
 #: A limit is not looked for below this length: short values are words of a list.
 MIN_LIMIT = 32
@@ -165,7 +165,7 @@ def truncated(df: DataFrame, row_id: str, source: str, text: str) -> DataFrame:
 
     A row may be named for several reasons. Extra columns of df are ignored.
     """
-    base = df.select(F.col(row_id).alias("_id"), F.col(source).alias("_src"), F.col(text).alias("_text"))
+    base = spread(df.select(F.col(row_id).alias("_id"), F.col(source).alias("_src"), F.col(text).alias("_text")))
     values = cut(measured(with_shape(base, "_text")))
     found = limits(values).select(F.col("_src").alias("s"), F.col("field").alias("f"), "unit", "limit")
     size = F.when(F.col("unit") == "chars", F.col("chars")).otherwise(F.col("bytes"))
