@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from hibiki.llm import lookalike, neighbours, overlap
 
@@ -153,6 +154,33 @@ def test_visited_leaves_are_those_of_the_queue():
             assert set(np.flatnonzero(seen[i])) == set(tree.walk(x[i], visits))
 
 
+def test_a_sample_is_all_that_the_driver_gets(spark):
+    df = spark.range(6000).selectExpr("id * 7 as cls", "unhex(lpad(hex(id), 16, '0')) as b").repartition(24)
+    rows = df.withColumn("v", F.concat(*[F.col("b")] * 8)).select("cls", "v").cache()  # 64 bytes: 16 floats
+    for n, salt in ((500, ()), (400, (11,)), (6000, ()), (9000, ())):
+        want = rows.orderBy(F.xxhash64("cls", *[F.lit(x) for x in salt]), "cls").limit(n).collect()
+        ids, v = neighbours.smallest(rows, n, 16, *salt)
+        assert ids.tolist() == [r["cls"] for r in want] and [x.tobytes() for x in v] == [bytes(r["v"]) for r in want]
+    limit = spark.sparkContext._jsc.sc().conf()
+    limit.set("spark.driver.maxResultSize", "200k")  # an ordered limit of 1,500 rows sends all 6,000 of 24 partitions, over 400 KB
+    try:
+        assert len(neighbours.smallest(rows, 1500, 16)[0]) == 1500
+    finally:
+        limit.set("spark.driver.maxResultSize", "1g")
+        rows.unpersist()
+    assert neighbours.smallest(rows.limit(0), 5, 16)[1].shape == (0, 16)
+
+
+def test_steps_are_those_of_the_walk():
+    r = np.random.default_rng(9)
+    x = r.normal(size=(600, 8)).astype("f4")
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tree = neighbours.fit(x, 60)
+    for q in x[:100]:
+        order = tree.walk(q, len(tree.leaves))
+        assert tree.steps(q, np.array(order)).tolist() == list(range(len(order)))
+
+
 def test_neighbours_cut_crowded_groups(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "BLOCK", 100)
     monkeypatch.setattr(neighbours, "QUERIES", 64)
