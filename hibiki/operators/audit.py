@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hibiki.functions import text as T
+from hibiki.functions.plan import once
+from hibiki.session import cut
 
-from . import ranges
+from . import ranges, spans
 
 # Gates of an extraction.
 MAX_PAIR_JP, MAX_PAIR_EN, MIN_COVERAGE, SPARSE_COVERAGE, LONG_PART, FEW = 600, 1800, 0.70, 0.50, 2000, 5
@@ -60,16 +62,21 @@ def inversions(df: DataFrame, group: list[str], order: list[str], position: str)
 def spans_in_sources(phrases: DataFrame, paras: DataFrame) -> DataFrame:
     """ph_id, part_id, at, jp_ok, en_ok, source_chars: where a phrase's source span stands in its part (from 1; 0: nowhere), and whether both spans do.
 
-    White space and case count for nothing; spans may run over paragraphs, so a part's side, which is one chapter, is put
-    together. An empty span stands everywhere, a null one nowhere. phrases: ph_id, part_id, jp_span, en_span.
+    White space and case count for nothing; spans may run over paragraphs. An empty span stands everywhere, a null one
+    nowhere. phrases: ph_id, part_id, jp_span, en_span. paras: part_id, side, para_index, para_id, text.
     """
-    key = paras.where("part_id is not null and text is not null").select("part_id", "side", "para_index", "para_id", T.verbatim_key("text").alias("_k")).where("_k <> ''")
-    src = key.groupBy("part_id", "side").agg(F.expr("listagg(_k, '') WITHIN GROUP (ORDER BY para_index, para_id)").alias("_key"))
-    j = phrases.join(src.where("side = 'jp'").select("part_id", F.col("_key").alias("_jp")), "part_id", "left").join(src.where("side = 'en'").select("part_id", F.col("_key").alias("_en")), "part_id", "left")
-    j = j.withColumn("_js", T.verbatim_key("jp_span")).withColumn("_es", T.verbatim_key("en_span"))
-    ok = lambda s, k: F.coalesce((F.col(s) == "") | F.contains(F.col(k), F.col(s)), F.lit(False))
-    at = F.when(F.col("_js") != "", F.expr("instr(_jp, _js)"))
-    return j.select("ph_id", "part_id", F.coalesce(at, F.lit(0)).alias("at"), ok("_js", "_jp").alias("jp_ok"), ok("_es", "_en").alias("en_ok"), F.coalesce(F.length("_jp"), F.lit(0)).alias("source_chars"))
+    j = cut(phrases.select("ph_id", "part_id", T.verbatim_key("jp_span").alias("_js"), T.verbatim_key("en_span").alias("_es")))
+    parts = j.where("part_id is not null").select("part_id").distinct()
+    key = paras.where("part_id is not null and text is not null and side in ('jp', 'en')").select("part_id", "side", "para_index", "para_id", "text").join(parts, "part_id", "left_semi")
+    key = once(key, {"text": T.verbatim_key("text")})
+    sides = F.explode(F.array(F.struct(F.lit("jp").alias("side"), F.col("_js").alias("span")), F.struct(F.lit("en").alias("side"), F.col("_es").alias("span")))).alias("_x")
+    asked = j.select("part_id", sides).select("part_id", "_x.side", "_x.span").where("part_id is not null and span <> ''").distinct()
+    found, sizes = spans.first_places(key, asked)
+    found = cut(found)
+    of = lambda side, span, at: found.where(F.col("side") == side).select("part_id", F.col("span").alias(span), F.col("at").alias(at))
+    j = j.join(of("jp", "_js", "_at"), ["part_id", "_js"], "left").join(of("en", "_es", "_en"), ["part_id", "_es"], "left").join(sizes.where("side = 'jp'").select("part_id", "size"), "part_id", "left")
+    ok = lambda span, at: F.coalesce((F.col(span) == "") | F.col(at).isNotNull(), F.lit(False))
+    return j.select("ph_id", "part_id", F.coalesce("_at", F.lit(0)).alias("at"), ok("_js", "_at").alias("jp_ok"), ok("_es", "_en").alias("en_ok"), F.coalesce("size", F.lit(0)).alias("source_chars"))
 
 
 def phrase_yield(spans: DataFrame) -> DataFrame:

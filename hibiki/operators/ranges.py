@@ -42,3 +42,14 @@ def with_running_count(df: DataFrame, group: list[str], order: list[str], flag:
     w = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     own = rows.withColumn("_own", F.sum("_f").over(w))
     return _joined(own, before, group).withColumn(name, F.col("_start") + F.col("_own")).select(*df.columns, name)
+
+
+def with_sum_before(df: DataFrame, group: list[str], order: list[str], value: Column, name: str, size: int = RANGE) -> DataFrame:
+    """df + name: the sum of a value over the group's rows before this one."""
+    rows = _ranged(df.withColumn("_s", value), order[0], size)
+    sums = rows.groupBy(*group, "_range").agg(F.sum("_s").alias("_n"))
+    w = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.withColumn("_start", F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
+    w = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    own = rows.withColumn("_own", F.coalesce(F.sum("_s").over(w), F.lit(0)))
+    return _joined(own, before, group).withColumn(name, F.col("_start") + F.col("_own")).select(*df.columns, name)

@@ -2,11 +2,13 @@
 
 import json
 import os
+import random
 
+import __spark_entry__
 import pytest
 from pyspark.sql import functions as F
 
-from hibiki.operators import audit, boundary, corpus, links, mining, notes, retrieve, scores
+from hibiki.operators import audit, boundary, corpus, links, mining, notes, retrieve, scores, spans
 from hibiki.sources import readers, writers
 
 PAGE = """<html><div class="menu"><p><a href="https://a.example/no">Part 9</a></p></div><div class="entry-content">
@@ -62,6 +64,59 @@ def test_spans_run_over_paragraphs(spark):
     assert (y["phrases"], y["survivors"], y["dropped"], y["too_few"]) == (3, 1, 2, False)
 
 
+def joined(paras, part, side):
+    """Definition: keys in the order of para_index, para_id, nulls last."""
+    own = sorted(((x is None, x or 0, n), t) for n, p, d, x, t in paras if (p, d) == (part, side) and t is not None)
+    return "".join(t.lower().replace(" ", "") for _, t in own)
+
+
+def test_spans_are_found_in_chunks_and_pieces(spark, monkeypatch):
+    r = random.Random(5)
+    text = lambda n: "".join(r.choice("aB 雨夜𝒳") for _ in range(n))
+    paras = [(i, r.choice("pqp"), r.choice(["jp", "en"]), r.choice([None, r.randrange(40_000)]), r.choice([None, text(r.randrange(12)), text(40)])) for i in range(300)]
+    phrases = [(i, r.choice(["p", "q", "r", None]), r.choice([None, "", " ", text(r.randint(1, 6))]), r.choice([None, text(2), text(9)])) for i in range(300)]
+    whole = {(p, d): joined(paras, p, d) for p in "pqr" for d in ("jp", "en")}
+    phrases += [(400 + i, p, whole[p, "jp"][i * 9 : i * 9 + n], whole[p, "en"][-n:]) for i, n in enumerate((1, 15, 50, 64, 200, 999)) for p in "pq"]
+    want = set()
+    for i, p, a, b in phrases:
+        a, b = (x if x is None else x.lower().replace(" ", "") for x in (a, b))
+        at = whole[p, "jp"].find(a) + 1 if p and a else 0
+        want.add((i, p, at, a == "" or at > 0, b == "" or bool(p and b and b in whole[p, "en"]), len(whole.get((p, "jp"), ""))))
+    df = spark.createDataFrame(paras, "para_id long, part_id string, side string, para_index long, text string")
+    ph = spark.createDataFrame(phrases, "ph_id long, part_id string, jp_span string, en_span string")
+    for chunk, piece in ((500_000, 100_000), (70, 20)):
+        monkeypatch.setattr(spans, "CHUNK", chunk)
+        monkeypatch.setattr(spans, "PIECE", piece)
+        assert {tuple(x) for x in audit.spans_in_sources(ph, df).collect()} == want
+
+
+def test_all_spans_of_a_text_are_looked_for_at_once(monkeypatch):
+    r = random.Random(6)
+    text = "".join(r.choice("ab雨夜𝒳") for _ in range(5_000))
+    some = {text[i : i + r.randint(1, 90)] for i in r.sample(range(5_000), 400)} | {"".join(r.choice("ab雨") for _ in range(n)) for n in range(1, 40)} | {text, text[1:], text + "a"}
+    want = [text.find(x) for x in sorted(some)]
+    monkeypatch.setattr(spans, "FEW", 0)
+    assert spans.places(text, sorted(some)) == want and -1 in want
+    monkeypatch.setattr(spans, "_BASE", 1)  # hashes that agree for other texts
+    monkeypatch.setattr(spans, "_INVERSE", 1)
+    assert spans.places(text, sorted(some)) == want
+
+
+@pytest.mark.parametrize("name", ["q_phrase_yield"])
+def test_no_row_holds_a_whole_source(spark, tmp_path, name):
+    """29,999 phrases of one part of 1.3 million characters a side: a search for each of them takes many minutes."""
+    one = spark.range(60_000).selectExpr("id as para_id", "'p' as part_id", "if(id % 2 = 0, 'jp', 'en') as side", "id as para_index", "'narration' as kind", "concat('<', repeat('雨', 35), id div 2, '>') as text")
+    one.write.parquet(f"{tmp_path}/paragraphs.parquet")
+    # spans run over the border of two paragraphs, every tenth stands nowhere
+    span = "concat(id, '><', if(id % 10 = 0, 'x', '雨'))"
+    spark.range(29_999).selectExpr("id as ph_id", "'p' as part_id", f"{span} as jp_span", f"{span} as en_span").write.parquet(f"{tmp_path}/phrase_precedent.parquet")
+    got = __spark_entry__.queries()[name](spark, str(tmp_path)).collect()
+    if name == "q_phrase_yield":
+        assert [(x["phrases"], x["survivors"], x["dropped"], x["too_few"]) for x in got] == [(29_999, 26_999, 3_000, False)]
+    else:
+        assert len(got) == 29_999 and sum(x["kept"] for x in got) == 26_999 and all(x["kept"] == (x["ph_id"] % 10 > 0) for x in got)
+
+
 def test_unknown_parts_are_errors(spark):
     e = spark.createDataFrame([("a", 1)], "id string, part_number int")
     assert corpus.found_part(e, "a").count() == 1
