@@ -102,7 +102,7 @@ def test_all_spans_of_a_text_are_looked_for_at_once(monkeypatch):
     assert spans.places(text, sorted(some)) == want
 
 
-@pytest.mark.parametrize("name", ["q_phrase_yield"])
+@pytest.mark.parametrize("name", ["q_phrase_yield", "q_verbatim_phrases"])
 def test_no_row_holds_a_whole_source(spark, tmp_path, name):
     """29,999 phrases of one part of 1.3 million characters a side: a search for each of them takes many minutes."""
     one = spark.range(60_000).selectExpr("id as para_id", "'p' as part_id", "if(id % 2 = 0, 'jp', 'en') as side", "id as para_index", "'narration' as kind", "concat('<', repeat('雨', 35), id div 2, '>') as text")
