@@ -2,8 +2,9 @@
 
 1. Lexicon. Tokens of both sides that stand in one passage are counted, and
    Dunning's log-likelihood ratio says which pairs go together; each token keeps
-   its best senses, and the whole has at most `LEXICON` pairs, so that what is
-   sent out has a bound: first every token's best sense, then second ones.
+   its best senses, however many pairs there are. Up to `LEXICON` pairs are sent
+   out whole, so that what is sent has a bound; of more, each group of texts is
+   joined with the pairs of its own tokens, which gives the same.
 2. Places. Sentences of a long document are not compared all with all. Pairs of
    rare words that stand once on either side of a document, read in the other
    language through the lexicon, anchor places to each other; the median shift
@@ -32,7 +33,7 @@ import re
 import unicodedata
 import zlib
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -43,7 +44,7 @@ from hibiki.session import cut, tasks
 
 from .sentences import units
 
-#: Bounds of the lexicon: its strongest pairs; least count and log-likelihood of a pair; translations of a token.
+#: Of the lexicon: pairs up to which it is sent out whole; least count and log-likelihood of a pair; translations of a token.
 LEXICON, LEAST_COUNT, LEAST_RATIO, SENSES = 200_000, 3, 12.0, 6
 #: Places of one block, and the margin on both sides of it.
 BLOCK, MARGIN = 60, 8
@@ -52,6 +53,8 @@ NULL, PER_PLACE = 0.5, 0.004
 #: Longest merged span; least share of a member's weight that the other side explains; what each further member adds, as it needn't go without a partner; spans of a component of few units that are tried in all combinations.
 SPAN, MEMBER, SPARED, TRIED, SMALL = 3, 0.65, 0.1, 5, 8
 BUCKET = 400
+#: Rows that are read together with their part of a lexicon that isn't sent out.
+ROWS = 4000
 
 _JA = re.compile(r"[㐀-鿿々]+|[ァ-ヺー]+|[0-9]+(?:[.,][0-9]+)*|[a-z]+|[぀-ゟ]{2,}")
 _EN = re.compile(r"[0-9]+(?:[.,][0-9]+)*|[a-zé]+(?:'[a-z]+)?")
@@ -150,7 +153,7 @@ def _counted(passages: DataFrame) -> DataFrame:
     return got.groupBy("kind", "j", "e").agg(F.sum("n").alias("n"))
 
 
-def lexicon(passages: DataFrame, most: int = LEXICON) -> DataFrame:
+def lexicon(passages: DataFrame) -> DataFrame:
     """j, e, weight, idf_j, idf_e: pairs of tokens that go together. passages: a (Japanese), b (English)."""
     counted = cut(_counted(passages))
     total = counted.where((F.col("j") == "") & (F.col("e") == "")).agg(F.sum("n")).first()[0] or 0
@@ -167,14 +170,10 @@ def lexicon(passages: DataFrame, most: int = LEXICON) -> DataFrame:
     )
     kept = pairs.withColumn("ratio", ratio).where((F.col("ratio") >= LEAST_RATIO) & (n * all_ > nj * ne))
     kept = kept.withColumn("weight", n / F.sqrt(nj * ne))
-    # a token's best senses, ranked on either side; with more than `most`, second and later ones go before a first one does
+    # a token's best senses, ranked on either side
     of_j, of_e = Window.partitionBy("j").orderBy(F.desc("weight"), F.desc("e")), Window.partitionBy("e").orderBy(F.desc("weight"), F.desc("j"))
     ranked = kept.withColumn("rank", F.least(F.row_number().over(of_j), F.row_number().over(of_e))).where(F.col("rank") <= 2 * SENSES)
-    return (
-        ranked.orderBy("rank", F.desc("ratio"), "j", "e")
-        .limit(most)
-        .select("j", "e", "weight", F.ln((all_ + 1) / nj).alias("idf_j"), F.ln((all_ + 1) / ne).alias("idf_e"), "ratio")
-    )
+    return ranked.select("j", "e", "weight", F.ln((all_ + 1) / nj).alias("idf_j"), F.ln((all_ + 1) / ne).alias("idf_e"), "ratio")
 
 
 class Lexicon:
@@ -206,6 +205,57 @@ class Lexicon:
         return self.of_j.get(j, {}).get(e, 0.0)
 
 
+class Senses:
+    """Reads rows of texts with the lexicon.
+
+    Up to LEXICON pairs it is sent out whole. A larger one is joined: each group
+    of rows gets the senses of its own Japanese tokens, and which of its tokens
+    are English ones of the lexicon. No more than that is ever looked up.
+    """
+
+    def __init__(self, rows: DataFrame) -> None:
+        self.rows, self.sent = rows.select("j", "e", "weight", "idf_j", "idf_e"), None
+        if len(few := self.rows.limit(LEXICON + 1).collect()) <= LEXICON:
+            self.sent = rows.sparkSession.sparkContext.broadcast(Lexicon([tuple(r) for r in few]))
+        else:
+            self.rows = cut(self.rows)
+
+    def read(self, rows: DataFrame, texts: Callable[[pd.DataFrame], Iterable[tuple[str, str]]], f: Callable[[pd.DataFrame, Lexicon], pd.DataFrame], schema: str, bucket: str | None = None) -> DataFrame:
+        """f(rows, lexicon) of groups of rows: those of one bucket, or any. texts: the (side, text) that f looks up in some rows."""
+        if sent := self.sent:
+            if bucket:
+                return rows.groupBy(bucket).applyInPandas(lambda pdf: f(pdf, sent.value), schema)
+            return rows.mapInPandas(lambda batches: (f(pdf, sent.value) for pdf in batches), schema)
+        columns = rows.columns
+        rows = cut(rows)
+        grouped = rows.withColumn("_group", F.col(bucket) if bucket else F.pmod(F.xxhash64(*columns), F.lit(rows.count() // ROWS + 1)))
+
+        def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                seen = {(g, side, t): 0 for g, own in pdf.groupby("_group") for side, text in texts(own) for t in (tokens_ja if side == "j" else tokens_en)(text)}
+                yield pd.DataFrame(list(seen), columns=["_group", "side", "t"])
+
+        asked = cut(grouped.mapInPandas(named, "_group long, side string, t string").distinct())
+        best = self.rows.withColumn("_rank", F.row_number().over(Window.partitionBy("j").orderBy(F.desc("weight"), F.desc("e")))).where(F.col("_rank") <= SENSES).drop("_rank")
+        senses = asked.where("side = 'j'").select("_group", F.col("t").alias("j")).join(best, "j").select("_group", "j", "e", "weight", "idf_j", "idf_e")
+        known = self.rows.groupBy("e").agg(F.max("idf_e").alias("idf_e"))  # one value
+        alone = asked.select("_group", F.col("t").alias("e")).distinct().join(known, "e").selectExpr("_group", "cast(null as string) as j", "e", "0.0D as weight", "0.0D as idf_j", "idf_e")
+
+        def read(pdf: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+            pairs, single = words[words["j"].notna()], words[words["j"].isna()]
+            lex = Lexicon(list(pairs[["j", "e", "weight", "idf_j", "idf_e"]].itertuples(index=False, name=None)))
+            for e, idf in zip(single["e"], single["idf_e"]):
+                lex.idf_e[e] = idf
+                lex.of_e.setdefault(e, set())
+            return f(pdf[columns], lex)
+
+        return grouped.groupBy("_group").cogroup(senses.unionByName(alone).groupBy("_group")).applyInPandas(lambda a, b: read(a, b), schema)
+
+
+def _units_of(pdf: pd.DataFrame) -> Iterable[tuple[str, str]]:
+    return zip(pdf["side"], pdf["unit"])
+
+
 class Block:
     """What the sentences of one block explain of each other.
 
@@ -438,22 +488,20 @@ def sentence_rows(texts: DataFrame) -> DataFrame:
 def _signed(rows: DataFrame, lex) -> DataFrame:
     """doc, and row, start and place of a j and an e unit (jr, js, pj, er, es, pe) whose pair of rare words stands once on either side of the document."""
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lx: Lexicon = lex.value
-        for pdf in batches:
-            out = []
-            for doc, side, row, start, place, text in zip(pdf["doc"], pdf["side"], pdf["row_id"], pdf["start"], pdf["place"], pdf["unit"]):
-                if side == "j":
-                    ts = {lx.best[t][0] if t in lx.best else t: 0 for t in tokens_ja(text) if (t in lx.best and lx.best[t][1] >= 0.6) or t[0].isdigit()}
-                else:
-                    ts = {t: 0 for t in tokens_en(text) if t in lx.of_e or t[0].isdigit()}
-                rare = sorted(ts, key=lambda t: (-lx.idf(t, "e"), t))[:5]
-                rare.sort()
-                marks = [zlib.crc32(t.encode()) for t in rare]
-                out += [(doc, a << 31 ^ b, side, row, start, place) for i, a in enumerate(marks) for b in marks[i + 1 :]]
-            yield pd.DataFrame(out, columns=["doc", "sign", "side", "row_id", "start", "place"])
-
-    signs = rows.select("doc", "side", "row_id", "start", "place", "unit").mapInPandas(sign, "doc string, sign long, side string, row_id long, start long, place double")
+    def sign(pdf: pd.DataFrame, lx: Lexicon) -> pd.DataFrame:
+        out = []
+        for doc, side, row, start, place, text in zip(pdf["doc"], pdf["side"], pdf["row_id"], pdf["start"], pdf["place"], pdf["unit"]):
+            if side == "j":
+                ts = {lx.best[t][0] if t in lx.best else t: 0 for t in tokens_ja(text) if (t in lx.best and lx.best[t][1] >= 0.6) or t[0].isdigit()}
+            else:
+                ts = {t: 0 for t in tokens_en(text) if t in lx.of_e or t[0].isdigit()}
+            rare = sorted(ts, key=lambda t: (-lx.idf(t, "e"), t))[:5]
+            rare.sort()
+            marks = [zlib.crc32(t.encode()) for t in rare]
+            out += [(doc, a << 31 ^ b, side, row, start, place) for i, a in enumerate(marks) for b in marks[i + 1 :]]
+        return pd.DataFrame(out, columns=["doc", "sign", "side", "row_id", "start", "place"])
+
+    signs = lex.read(rows.select("doc", "side", "row_id", "start", "place", "unit"), _units_of, sign, "doc string, sign long, side string, row_id long, start long, place double")
     unit = F.struct("row_id", "start", "place")
     once = signs.groupBy("doc", "sign").agg(
         F.count_if(F.col("side") == "j").alias("nj"), F.count_if(F.col("side") == "e").alias("ne"), F.min(F.when(F.col("side") == "j", unit)).alias("j"), F.min(F.when(F.col("side") == "e", unit)).alias("e")
@@ -486,13 +534,12 @@ def _far(rows: DataFrame, anchors: DataFrame, near: DataFrame, lex) -> DataFrame
     left = left.join(text.where("side = 'j'").select("doc", F.col("row_id").alias("jr"), F.col("start").alias("js"), F.col("unit").alias("tj")), j)
     left = left.join(text.where("side = 'e'").select("doc", F.col("row_id").alias("er"), F.col("start").alias("es"), F.col("unit").alias("te")), e)
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            gains = []
-            for a, b in zip(pdf["tj"], pdf["te"]):
-                cj, ce = Block([tokens_ja(a)], [tokens_en(b)], lex.value).shares()
-                gains.append(2 * (2 * cj[0, 0] * ce[0, 0] / max(1e-9, cj[0, 0] + ce[0, 0]) - NULL))
-            yield pdf[["doc", "jr", "js", "er", "es"]].assign(gain=gains)
+    def score(pdf: pd.DataFrame, lx: Lexicon) -> pd.DataFrame:
+        gains = []
+        for a, b in zip(pdf["tj"], pdf["te"]):
+            cj, ce = Block([tokens_ja(a)], [tokens_en(b)], lx).shares()
+            gains.append(2 * (2 * cj[0, 0] * ce[0, 0] / max(1e-9, cj[0, 0] + ce[0, 0]) - NULL))
+        return pdf[["doc", "jr", "js", "er", "es"]].assign(gain=np.array(gains, float))
 
     def assign(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc", "jr", "js", "er", "es"])
@@ -509,7 +556,8 @@ def _far(rows: DataFrame, anchors: DataFrame, near: DataFrame, lex) -> DataFrame
             out += [(*js[rows[r]], *es[cols[c]][1:]) for r, c in hungarian(gain)]
         return pd.DataFrame(out, columns=["doc", "jp_row", "jp_start", "en_row", "en_start"])
 
-    scored = left.mapInPandas(score, "doc string, jr long, js long, er long, es long, gain double").where("gain > 0")
+    both = lambda pdf: [*(("j", t) for t in pdf["tj"]), *(("e", t) for t in pdf["te"])]
+    scored = lex.read(left, both, score, "doc string, jr long, js long, er long, es long, gain double").where("gain > 0")
     return scored.groupBy("doc").applyInPandas(assign, _PAIR)
 
 
@@ -520,7 +568,7 @@ def aligned(rows: DataFrame, lex_rows: DataFrame, long_documents: bool) -> DataF
     mapped and documents cut into blocks; else each document is one block.
     """
     spark = rows.sparkSession
-    lex = spark.sparkContext.broadcast(Lexicon([tuple(r) for r in lex_rows.select("j", "e", "weight", "idf_j", "idf_e").collect()]))  # at most LEXICON rows
+    lex = Senses(lex_rows)
     both = rows.groupBy("doc").agg(F.count_if(F.col("side") == "j").alias("a"), F.count_if(F.col("side") == "e").alias("b")).where("a > 0 and b > 0").select("doc")
     rows = rows.join(both, "doc", "left_semi")
     if long_documents:
@@ -535,8 +583,8 @@ def aligned(rows: DataFrame, lex_rows: DataFrame, long_documents: bool) -> DataF
     parts = max(tasks(spark), 8 * spark.sparkContext.defaultParallelism)
     bucketed = placed.withColumn("bucket", F.pmod(F.xxhash64("doc", "block"), F.lit(groups))).repartition(min(groups, parts), "bucket")
 
-    def align(pdf: pd.DataFrame) -> pd.DataFrame:
-        lx, out = lex.value, []
+    def align(pdf: pd.DataFrame, lx: Lexicon) -> pd.DataFrame:
+        out = []
         doc, names = pd.factorize(pdf["doc"])
         at, row, start, block = (pdf[c].to_numpy() for c in ("at", "row_id", "start", "block"))
         order = np.lexsort((start, row, at, block, doc))
@@ -551,7 +599,7 @@ def aligned(rows: DataFrame, lex_rows: DataFrame, long_documents: bool) -> DataF
                         out.append((names[doc[a]], row[j[x]], start[j[x]], row[e[y]], start[e[y]]))
         return pd.DataFrame(out, columns=["doc", "jp_row", "jp_start", "en_row", "en_start"])
 
-    pairs = bucketed.groupBy("bucket").applyInPandas(align, _PAIR)
+    pairs = lex.read(bucketed, _units_of, align, _PAIR, "bucket")
     if not long_documents:
         return pairs
     pairs = cut(pairs)

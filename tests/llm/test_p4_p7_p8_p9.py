@@ -112,6 +112,24 @@ def test_merged_sentences_give_both_pairs(spark):
     assert got == {(0, 0), (10, 0), (21, 55)}
 
 
+def test_a_lexicon_of_any_size_gives_the_same(spark, monkeypatch):
+    lex = alignment.lexicon(bitext(spark))
+    assert "Limit" not in lex._jdf.queryExecution().optimizedPlan().toString()  # no pair is dropped
+    lex, r, texts = lex.cache(), random.Random(8), []
+    ss = [sentence(r) for _ in range(40)]
+    for doc in ("d", "f"):
+        texts += [(doc, "j", k, float(k), f"{a[:-1]}、{k}番。") for k, (a, _) in enumerate(ss)]
+        texts += [(doc, "e", 1000 + k, float(k), f"{b[:-1]}, no. {k if doc == 'd' else 39 - k}.") for k, (_, b) in enumerate(ss if doc == "d" else ss[::-1])]
+    rows = alignment.sentence_rows(spark.createDataFrame(texts, "doc string, side string, row_id long, place double, text string")).cache()
+    run = lambda long_: sorted(tuple(x) for x in alignment.aligned(rows, lex, long_).collect())
+    want = [run(True), run(False)]
+    monkeypatch.setattr(alignment, "LEXICON", 5)  # more are joined, not sent
+    monkeypatch.setattr(alignment, "ROWS", 30)
+    assert lex.count() > 5 and [run(True), run(False)] == want and len(want[0]) > 40
+    lex.unpersist()
+    rows.unpersist()
+
+
 def test_alignment_of_nothing(spark):
     empty = spark.createDataFrame([], "doc string, side string, row_id long, place double, text string")
     lex = alignment.lexicon(spark.createDataFrame([(None, "x"), ("", "")], "a string, b string"))
