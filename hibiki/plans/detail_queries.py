@@ -146,7 +146,7 @@ _SOURCE = (
 
 
 def _spans(spark, d) -> DataFrame:
-    return audit.spans_in_sources(table(spark, d, "phrase_precedent").select("ph_id", "part_id", "jp_span", "en_span").distinct(), corpus.paragraphs(table(spark, d, "paragraphs")))
+    return audit.spans_in_sources(table(spark, d, "phrase_precedent").select("ph_id", "part_id", "jp_span", "en_span").distinct(), table(spark, d, "paragraphs").select("para_id", "part_id", "side", "para_index", "kind", "text"))
 
 
 @query(f"WITH {_SOURCE} SELECT ph_id, jp_ok, en_ok, jp_ok AND en_ok AS kept FROM z")

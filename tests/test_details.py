@@ -3,11 +3,13 @@
 import json
 import os
 import random
+import time
 
 import __spark_entry__
 import pytest
 from pyspark.sql import functions as F
 
+from hibiki.functions import text as T
 from hibiki.operators import audit, boundary, corpus, links, mining, notes, retrieve, scores, spans
 from hibiki.sources import readers, writers
 
@@ -117,6 +119,48 @@ def test_no_row_holds_a_whole_source(spark, tmp_path, name):
         assert len(got) == 29_999 and sum(x["kept"] for x in got) == 26_999 and all(x["kept"] == (x["ph_id"] % 10 > 0) for x in got)
 
 
+def written(spark):
+    """Bytes that shuffles have written so far."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    time.sleep(0.3)
+    spark.range(1).collect()  # a task that ends makes the store take up those before
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    return spark.sparkContext._jsc.sc().statusStore().executorList(False).apply(0).totalShuffleWrite()
+
+
+def test_texts_move_three_times_at_most(spark, tmp_path):
+    """To where their paragraphs are put together, to what is known of them, to the spans; twice delivered rows count once."""
+    sha = lambda x: f"sha2(concat({x}), 512)"
+    one = spark.range(40_000).selectExpr("id as para_id", "concat('p', id % 50) as part_id", "if(id % 4 < 2, 'jp', 'en') as side", "if(id % 3 = 0, null, id) as para_index", "'narration' as kind", f"{sha('id')} as text").repartition(4)
+    one.unionByName(one.where("para_id % 20 = 0")).write.parquet(f"{tmp_path}/paragraphs.parquet")
+    # a null source span has no place, its part has characters all the same
+    spark.range(2_000).selectExpr("id as ph_id", "concat('p', id % 50) as part_id", f"if(id % 2 = 0, null, substring({sha('id + 50')}, 5, 19)) as jp_span", f"substring({sha('id')}, 1, 20) as en_span").write.parquet(f"{tmp_path}/phrase_precedent.parquet")
+    begun = written(spark)
+    spark.read.parquet(f"{tmp_path}/paragraphs.parquet").repartition(4, "para_id").write.format("noop").mode("overwrite").save()
+    once = written(spark) - begun
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with larger tables
+    try:
+        got = __spark_entry__.queries()["q_verbatim_phrases"](spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", most)
+    moved = written(spark) - begun - once
+    assert moved < 4 * once, moved / once
+    assert len(got) == 2_000 and all(x["en_ok"] == (x["ph_id"] % 4 >= 2) and x["kept"] == (x["ph_id"] % 4 == 3) for x in got)
+    chars = {f"p{i}": 0 for i in range(50)}
+    for x in one.where("side = 'jp'").select("part_id", "text").collect():
+        chars[x["part_id"]] += len(x["text"])
+    ph, paras = (spark.read.parquet(f"{tmp_path}/{x}.parquet") for x in ("phrase_precedent", "paragraphs"))
+    rows = audit.spans_in_sources(ph.withColumn("jp_span", F.lit(None).cast("string")), paras).select("part_id", "source_chars").distinct().collect()
+    assert {x["part_id"]: x["source_chars"] for x in rows} == chars
+
+
+def test_white_space_of_spans(spark):
+    """Every code point, against the pattern that all other queries take."""
+    df = spark.createDataFrame([(f"a{chr(i)}B{chr(i)}{chr(i)}",) for i in range(0x110000) if not 0xD800 <= i < 0xE000], "x string")
+    assert df.where(audit._key("x") != T.verbatim_key("x")).count() == 0 and df.where(F.length(audit._key("x")) == 2).count() == 29
+
+
 def test_unknown_parts_are_errors(spark):
     e = spark.createDataFrame([("a", 1)], "id string, part_number int")
     assert corpus.found_part(e, "a").count() == 1
